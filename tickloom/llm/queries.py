@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language_id, source_mixing, token_counts
+from tickloom.llm import language_id, near_dedup, source_mixing, token_counts
 from tickloom.llm.common import table
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_source_mixing": OP7_SQL}
