@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language_id, near_dedup, source_mixing, token_counts
+from tickloom.llm import language_id, near_dedup, source_mixing, suffix_dedup, token_counts
 from tickloom.llm.common import table
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCAB = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_VOCAB)
 
@@ -62,6 +66,7 @@ FROM summed
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,

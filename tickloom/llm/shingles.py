@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -22,6 +23,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> S33)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 class Shingler:
     def __init__(self):
         self.cache: dict[str, int] = {}
@@ -34,7 +40,7 @@ class Shingler:
         for w in set().union(*words) - self.cache.keys() if words else ():
             self.cache[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter((h for ws in words for h in map(self.cache.__getitem__, ws)), np.uint64, int(sizes.sum()))
+        flat = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
         return flat, sizes
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -47,7 +53,7 @@ class Shingler:
             out, at = [], 0
             for n in sizes.tolist():
                 if n >= SIZE:
-                    out.append(np.unique(h[at : at + n - SIZE + 1]))
+                    out.append(distinct(h[at : at + n - SIZE + 1]))
                 elif n:
                     one = np.array([n], np.uint64)
                     for j in range(n):
@@ -61,7 +67,7 @@ class Shingler:
 
 def pack(values: np.ndarray) -> bytes:
     """Sorted hashes as five bytes each."""
-    low = np.unique(values & np.uint64(0xFFFFFFFFFF)).astype("<u8")
+    low = distinct(values & np.uint64(0xFFFFFFFFFF)).astype("<u8")
     return np.ascontiguousarray(low.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
