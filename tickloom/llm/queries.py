@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language_id, near_dedup, source_mixing, suffix_dedup, token_counts
+from tickloom.llm import decontamination, language_id, near_dedup, source_mixing, suffix_dedup, token_counts
 from tickloom.llm.common import table
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_VOCAB)
 
@@ -67,6 +71,7 @@ FROM summed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,
