@@ -21,8 +21,9 @@ from tickloom.llm.common import materialize
 SAMPLE_PER_PART, LEAST_PARTS, MOST_PARTS, ROWS_PER_PART = 48, 2, 128, 800
 #: Neighbours in the graph; most a part may hold, as a multiple of its even share.
 DEGREE, BALANCE = 10, 1.1
-#: A query visits its most probable parts until their probabilities sum to this, and at least this share of all parts.
-MASS, LEAST_SHARE = 0.995, 0.35
+#: A query visits so many of its most probable parts that, for sampled vectors kept out of training, this share of
+#: their nearest sampled neighbours lies in the visited parts; every KEPT_OUTth sampled vector is kept out.
+RECALL, KEPT_OUT = 0.95, 8
 #: Candidates and queries of one block.
 BLOCK = 2000
 #: Groups over which copies of one vector are first spread.
@@ -142,14 +143,15 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 1))
 
 
-def routes(probabilities: np.ndarray, every: bool) -> list[list[int]]:
-    """The most probable part of each row, or all parts a query visits."""
-    order = np.argsort(-probabilities, axis=1, kind="stable")
-    if not every:
-        return order[:, :1].tolist()
-    mass = np.cumsum(np.take_along_axis(probabilities, order, 1), axis=1)
-    count = np.maximum((mass < MASS).sum(1) + 1, int(np.ceil(LEAST_SHARE * probabilities.shape[1])))
-    return [o[:c].tolist() for o, c in zip(order, count)]
+def visits_needed(router: Router, x: np.ndarray, tests: np.ndarray, k: int) -> int:
+    """Parts to visit for RECALL, measured on unit vectors the router was not trained on."""
+    if not len(tests):
+        return router.b2.shape[0]
+    order = np.argsort(-router.probabilities(tests), axis=1, kind="stable")
+    rank = np.argsort(order, axis=1)
+    near = np.argsort(-(tests @ x.T), axis=1)[:, :k]
+    needed = np.sort(np.take_along_axis(rank, router.probabilities(x).argmax(1)[near], 1).ravel())
+    return int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))]) + 1
 
 
 def best_in_block(candidates: np.ndarray, first_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -199,14 +201,17 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     x = unit(matrix(sample.select("one", "v").toPandas().sort_values("one")["v"]))
     if len(x) < 4 * parts:
         parts = max(1, len(x) // 4)
-    router = train_router(x, balanced_parts(x, parts), parts)
+    out = np.arange(len(x)) % KEPT_OUT == KEPT_OUT - 1
+    router = train_router(x[~out], balanced_parts(x[~out], parts), parts)
+    visited = visits_needed(router, x[~out], x[out], k)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
                 p = router.probabilities(matrix(b["v"]))
-                b["part"] = [r[0] for r in routes(p, False)]
-                b["visits"] = [r if q is True else None for r, q in zip(routes(p, True), b["asked"])]
+                order = np.argsort(-p, axis=1, kind="stable")
+                b["part"] = order[:, 0]
+                b["visits"] = [r if q is True else None for r, q in zip(order[:, :visited].tolist(), b["asked"])]
                 yield b
 
     placed = materialize(distinct.mapInPandas(place, "one long, two long, v array<double>, ids array<long>, asked boolean, part int, visits array<int>"))
