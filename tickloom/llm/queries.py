@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, language_id, near_dedup, nearest, source_mixing, suffix_dedup, token_counts
+from tickloom.llm import decontamination, language_id, near_dedup, nearest, source_mixing, suffix_dedup, token_counts, toxicity
 from tickloom.llm.common import table
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_source_mixing": op7_source_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_near_dedup": op10_near_dedup,
 }
