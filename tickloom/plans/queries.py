@@ -561,14 +561,14 @@ def records_join_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instruments.attach(rows, _instruments(spark, sf_dir).where("price_precision > 0")).groupBy("instrument_id").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("long").alias("quantity"))
 
 
-@query("""SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 7 = 3 AND o_orderdate::DATE <= DATE '1995-06-17' AND o_orderdate::DATE + 30 >= DATE '1995-06-17' AND o_orderkey % 9 <> 0""")
+@query("""SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 7 = 3 AND o_orderdate::DATE <= DATE '2001-06-17' AND o_orderdate::DATE + 30 >= DATE '2001-06-17' AND o_orderkey % 9 <> 0""")
 def purge_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as catalog files of a month each; some names hold no range."""
     rows = tape.read(spark, sf_dir, "orders")
     stamp = lambda d: F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00-00-00-000000000Z"))
     name = F.when(F.col("o_orderkey") % 9 == 0, "part-0.parquet").otherwise(F.concat(stamp(F.col("o_orderdate")), F.lit("_"), stamp(F.date_add("o_orderdate", 30)), F.lit(".parquet")))
     files = rows.select("o_orderkey", "o_custkey", (F.col("o_custkey") % 7).cast("string").alias("instrument_id"), name.alias("name"))
-    return catalog.files_to_purge(files, ["3"], "1995-06-17").select("o_orderkey", "o_custkey")
+    return catalog.files_to_purge(files, ["3"], "2001-06-17").select("o_orderkey", "o_custkey")
 
 
 @query("""WITH d AS (SELECT o_orderpriority AS host, epoch(date_trunc('month', o_orderdate))::BIGINT AS at_s, count(*)::DOUBLE AS gb FROM orders GROUP BY ALL),
