@@ -20,11 +20,14 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType = ARRIVALS,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def commit_log(records: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """SNK-01..03: committed records as zstd JSON lines by venue and symbol and by UTC date and hour of receipt."""
+def commit_log(records: DataFrame, path: str, checkpoint: str, once: bool = False, codec: str = "gzip") -> StreamingQuery:
+    """SNK-01..03: committed records as JSON lines by venue and symbol and by UTC date and hour of receipt.
+
+    codec zstd needs Hadoop's native library on the executors; the readers take either.
+    """
     at = F.timestamp_micros(F.floor(F.col("ts_recv_ns") / 1000))
     rows = records.withColumns({"dt": F.date_format(at, "yyyy-MM-dd"), "hour": F.date_format(at, "HH")})
-    writer = rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).option("compression", "zstd").partitionBy("venue", "symbol", "dt", "hour").outputMode("append")
+    writer = rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).option("compression", codec).partitionBy("venue", "symbol", "dt", "hour").outputMode("append")
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
 
 
@@ -32,11 +35,9 @@ def heartbeat(messages: DataFrame, path: str, checkpoint: str, requested: DataFr
     """SNK-11: running message counts; every trigger writes one document with coverage per venue."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
         rows = [r.asDict() for r in health.coverage_ratio(batch.join(requested, ["venue", "symbol"], "left_semi"), requested).collect()]
         with open(path, "w", encoding="utf-8") as f:
-            json.dump({"epoch": epoch, "at": int(time.time()), "coverage": rows, "symbols": batch.count()}, f)
-        batch.unpersist()
+            json.dump({"epoch": epoch, "at": int(time.time()), "coverage": rows}, f)
 
     writer = health.message_stats(messages).writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
