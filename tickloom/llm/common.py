@@ -7,12 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.session import ship
+
 #: Rows in one Arrow batch handed to Python; keeps a batch of long texts small.
 ARROW_ROWS = "1000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark's reader ever touches the path."""
+    ship(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

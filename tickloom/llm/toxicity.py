@@ -30,6 +30,8 @@ MAX_DOCS = 2_500
 #: Windows of one training text that take part: those with the most telling words.
 WINDOWS = 6
 EPOCHS, BATCH, RATE = 6, 128, 0.01
+#: Few texts are gone over more often, until there were this many steps.
+LEAST_STEPS = 200
 CACHE_ENTRIES = 150_000
 
 
@@ -199,7 +201,8 @@ def train(texts: list[str], labels: list[int]) -> Network:
     rng = np.random.default_rng(5)
     m, v, n = {k: np.zeros_like(x) for k, x in net.p.items()}, {k: np.zeros_like(x) for k, x in net.p.items()}, 0
     logits = np.zeros(len(rows))
-    for epoch in range(EPOCHS):
+    steps = -(-len(texts) * 2 // BATCH)
+    for epoch in range(max(EPOCHS, -(-LEAST_STEPS // steps))):
         if epoch:
             table = Scorer.projections(net, ids)
             logits = np.concatenate([Scorer.logits(net, table, rows[i : i + 4096]) for i in range(0, len(rows), 4096)])
