@@ -117,7 +117,7 @@ def trade_id_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TRADES_SQL} SELECT venue, symbol, recv // 86400000000000 AS session, count(*) AS records FROM tr GROUP BY ALL HAVING count(*) FILTER ({IS_TRADE}) = 0")
 def lifecycle_only_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days as sessions."""
-    rows = tape.trades(spark, sf_dir).withColumn("trade_stream_session_id", F.floor(F.col("ts_recv_ns") / 86_400_000_000_000))
+    rows = tape.trades(spark, sf_dir).withColumn("trade_stream_session_id", F.expr("ts_recv_ns div 86400000000000"))
     return trades.lifecycle_only_sessions(rows).withColumnRenamed("trade_stream_session_id", "session")
 
 
@@ -128,7 +128,7 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WebSocket frames out of events, some of them damaged."""
     e, i = tape.events(spark, sf_dir), F.col("event_id")
     body = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
-    ms = F.floor(F.col("ts_ns") / 1_000_000).cast("string")
+    ms = F.expr("ts_ns div 1000000").cast("string")
     spot = body('{"stream":"s","data":{"e":"trade","E":', ms, ',"s":"', F.col("symbol"), '"', F.when(i % 7 == 0, "").otherwise(body(',"t":', i.cast("string"))), ',"p":"1.5","q":"2","m":true}}')
     future = body('{"stream":"s","data":{"e":"aggTrade","E":', ms, ',"s":"', F.when(i % 17 == 0, "").otherwise(F.col("symbol")), '"', F.when(i % 5 == 0, "").otherwise(body(',"a":', i.cast("string"))), F.when(i % 11 == 0, "").otherwise(',"f":1,"l":2'), ',"p":"1.5","q":"2","T":', ms, ',"m":false}}')
     frame = F.when(i % 23 == 0, "{broken").when(i % 29 == 0, '{"result":null}').when(F.col("venue") == SPOT, spot).otherwise(future)
@@ -204,7 +204,7 @@ def sync_state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {EVENTS_SQL}, w AS (SELECT venue, symbol, event_id, count(*) OVER (PARTITION BY venue, symbol ORDER BY ts_ns // 1000000000 RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS in_window FROM ev)
 SELECT event_id, in_window, in_window > 6 AS fenced FROM w""")
 def resync_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tape.events(spark, sf_dir).withColumn("at_s", F.floor(F.col("ts_ns") / 1_000_000_000))
+    rows = tape.events(spark, sf_dir).withColumn("at_s", F.expr("ts_ns div 1000000000"))
     return replay.resync_budget(rows, seconds=86_400).select("event_id", "in_window", "fenced")
 
 

@@ -32,7 +32,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as trade records; errors are lifecycle rows, some fields are missing, zero or no number."""
     e, i = events(spark, sf_dir), F.col("event_id")
-    ms = F.floor(F.col("ts_ns") / 1_000_000)
+    ms = F.expr("ts_ns div 1000000")
     return e.select(
         "venue", "symbol",
         F.when(F.col("event_type") == "error", "trade_stream_lifecycle").when(i % 3 != 0, "trade").alias("record_type"),
