@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
 from tickloom.operators import catalog, health, instruments, quality, trades, universe
-from tickloom.plans import convert
+from tickloom.plans import convert, universe_cache
 from tickloom.schemas import FUTURES, SPOT
 from tickloom.sources import raw
 from tickloom.streaming import jobs, sync
@@ -209,3 +209,17 @@ def test_heartbeat_document(spark, tmp_path):
     requested = spark.createDataFrame([(SPOT, s) for s in "ABCDE"], "venue string, symbol string")
     jobs.heartbeat(messages, str(tmp_path / "beat.json"), str(tmp_path / "c"), requested, once=True).awaitTermination(120)
     assert json.loads((tmp_path / "beat.json").read_text())["coverage"][0]["ratio"] == 0.4
+
+
+def test_universe_document_is_used_again_only_under_its_policy(spark, tmp_path):
+    names = ["BTCUSDT", "ETHUSDT", "SOLUSDT"]
+    rows = spark.createDataFrame([(n, str(100 - i), i) for i, n in enumerate(names)], "symbol string, quoteVolume string, ordinal int")
+    both = {SPOT: rows, FUTURES: rows}
+    sick = {SPOT: rows.where("symbol = 'ETHUSDT'")}
+    doc = universe_cache.document(both, both, sick, "2026-04-17T00:00:00", top=2)
+    assert doc[SPOT] == ["BTCUSDT", "SOLUSDT"] and doc[FUTURES] == names[:2]
+    assert doc["selection_metadata"][SPOT]["replacement_symbols"] == ["SOLUSDT"]
+    assert universe_cache.usable(doc, top=2) and not universe_cache.usable(doc) and not universe_cache.usable([])
+    assert not universe_cache.usable(doc | {SPOT: ["BTCUSDT"]}, top=2)
+    universe_cache.save(doc, str(tmp_path), DAY)
+    assert raw.resolve_universe(spark, str(tmp_path), str(tmp_path), DAY)[SPOT] == doc[SPOT]

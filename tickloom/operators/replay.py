@@ -55,6 +55,23 @@ def prepared(records: DataFrame) -> DataFrame:
     )
 
 
+def from_frames(frames: DataFrame, frame: str = "frame") -> DataFrame:
+    """PRJ-24: update fields out of WebSocket depth frames; frames without data or symbol are left out.
+
+    Beside frames' columns come symbol, first_id, final_id, pu, ts_event_ms, bids, asks (empty where absent).
+    """
+    value = F.try_parse_json(F.col(frame))
+    get = lambda k, kind: F.try_variant_get(value, f"$.data.{k}", kind)
+    levels = lambda k: F.coalesce(get(k, "array<array<string>>"), F.array().cast("array<array<string>>"))
+    rows = frames.where(F.coalesce(get("s", "string"), F.lit("")) != "")
+    return rows.withColumns(
+        {
+            "record_type": F.lit("depth_update"), "symbol": get("s", "string"), "first_id": get("U", "bigint"), "final_id": get("u", "bigint"), "pu": get("pu", "bigint"),
+            "ts_event_ms": get("E", "bigint"), "bids": levels("b"), "asks": levels("a"),
+        }
+    )
+
+
 def follows(futures: bool, boot: bool, last: int | None, first: int | None, final: int | None, pu: int | None) -> bool:
     """STF-04: whether an update continues a book at id `last`."""
     if last is None or first is None or final is None:

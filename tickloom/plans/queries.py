@@ -32,6 +32,21 @@ def doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("double") for n in names})
 
 
+TICKERS_SQL = """tk AS (
+  SELECT c_custkey AS ordinal,
+         CASE WHEN c_custkey % 11 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 13 = 0 THEN 'é' || c_custkey WHEN c_custkey % 17 = 0 THEN 'X' WHEN c_custkey % 19 = 0 THEN 'b-' || c_custkey ELSE 'C' || c_custkey END || CASE WHEN c_custkey % 7 = 0 THEN 'BTC' ELSE 'USDT' END AS symbol,
+         CASE WHEN c_custkey % 29 = 0 THEN 0 ELSE coalesce(v, 0) END::DOUBLE AS volume
+  FROM customer LEFT JOIN (SELECT o_custkey, sum(floor(o_totalprice)::BIGINT) AS v FROM orders GROUP BY 1) ON c_custkey = o_custkey),
+ranked AS (SELECT *, row_number() OVER (ORDER BY volume DESC, ordinal) AS rank FROM tk WHERE symbol LIKE '%USDT'),
+pool AS (SELECT * FROM ranked WHERE rank <= 120),
+reasoned AS (
+  SELECT *, CASE WHEN regexp_matches(symbol, '[^\\x00-\\x7F]') THEN 'contains non-ASCII characters' WHEN NOT regexp_full_match(symbol, '[A-Z0-9]+USDT') THEN 'fails conservative regex ^[A-Z0-9]+USDT$'
+         WHEN length(symbol) < 6 THEN 'base asset shorter than 2 chars (''' || symbol[1:length(symbol) - 4] || ''')' WHEN regexp_full_match(symbol, '[0-9]+USDT') THEN 'base asset is digits only' ELSE 'ok' END AS reason FROM pool),
+flagged AS (SELECT *, reason = 'ok' AS sane, ordinal % 5 <> 0 AS supported, ordinal % 6 = 0 AS unhealthy FROM reasoned),
+nth AS (
+  SELECT *, CASE WHEN sane AND supported THEN count(*) FILTER (sane AND supported) OVER (ORDER BY rank) END AS nth_able, CASE WHEN sane AND supported AND NOT unhealthy THEN count(*) FILTER (sane AND supported AND NOT unhealthy) OVER (ORDER BY rank) END AS nth FROM flagged)"""
+
+
 # --- trades -----------------------------------------------------------------------------------------------------
 
 TICK_TS = "CASE WHEN coalesce(tr_ms, 0) <> 0 THEN tr_ms * 1000000 WHEN coalesce(ev_ms, 0) <> 0 THEN ev_ms * 1000000 ELSE recv END"
@@ -155,6 +170,24 @@ def ingest_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "symbol", (F.col("market_type") == "futures").alias("futures"), "exchange_trade_id", "ts_event_ms", "ts_trade_ms", "is_buyer_maker")
 
 
+@query(f"""WITH {EVENTS_SQL} SELECT event_id, symbol, event_id AS first_id, event_id + 2 AS final_id, CASE WHEN venue = '{FUTURES}' THEN event_id - 1 END AS pu, ts_ns // 1000000 AS ts_event_ms, (k % 10)::VARCHAR AS size, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS asks
+FROM ev WHERE event_id % 23 <> 0 AND event_id % 29 <> 0""")
+def ingest_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth frames out of events: ids that differ in case only, and absent sides."""
+    e, i = tape.events(spark, sf_dir), F.col("event_id")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    frame = text('{"data":{"e":"depthUpdate","E":', F.expr("ts_ns div 1000000"), ',"s":"', F.col("symbol"), '","U":', i, ',"u":', i + 2, F.when(F.col("venue") == FUTURES, text(',"pu":', i - 1)).otherwise(""), ',"b":[["1.5","', F.col("k") % 10, '"]]', F.when(i % 3 == 0, "").otherwise(',"a":[["2","1"]]'), "}}")
+    rows = e.select("event_id", F.when(i % 23 == 0, "{").when(i % 29 == 0, '{"data":{}}').otherwise(frame).alias("frame"))
+    return replay.from_frames(rows).select("event_id", "symbol", "first_id", "final_id", "pu", "ts_event_ms", F.col("bids")[0][1].alias("size"), F.size("asks").alias("asks"))
+
+
+@query(f"""WITH {TICKERS_SQL} SELECT ordinal, CASE WHEN symbol LIKE '%USDT' THEN symbol[1:length(symbol) - 4] || '-USDT-PERP' ELSE symbol END AS perpetual, CASE WHEN ordinal % 14 BETWEEN 1 AND 10 THEN ordinal % 14 ELSE 10 END AS levels FROM tk""")
+def names_and_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perpetual names, and how many book levels a request for some (0 to 13) gets."""
+    rows = _tickers(spark, sf_dir)
+    return rows.select("ordinal", scalars.perpetual_name(F.col("symbol")).alias("perpetual"), scalars.applied_levels(F.col("ordinal") % 14).alias("levels"))
+
+
 # --- gaps and sequences -----------------------------------------------------------------------------------------
 
 GAPS = "coalesce(max(gap), 0) AS {0}max_gap_ns, count(*) FILTER (gap > 1000000000) AS {0}over_1s, count(*) FILTER (gap > 5000000000) AS {0}over_5s, count(*) FILTER (gap > 60000000000) AS {0}over_60s"
@@ -395,21 +428,6 @@ def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(k.alias("ordinal"), symbol.alias("symbol"), volume.alias("quoteVolume"))
 
 
-TICKERS_SQL = """tk AS (
-  SELECT c_custkey AS ordinal,
-         CASE WHEN c_custkey % 11 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 13 = 0 THEN 'é' || c_custkey WHEN c_custkey % 17 = 0 THEN 'X' WHEN c_custkey % 19 = 0 THEN 'b-' || c_custkey ELSE 'C' || c_custkey END || CASE WHEN c_custkey % 7 = 0 THEN 'BTC' ELSE 'USDT' END AS symbol,
-         CASE WHEN c_custkey % 29 = 0 THEN 0 ELSE coalesce(v, 0) END::DOUBLE AS volume
-  FROM customer LEFT JOIN (SELECT o_custkey, sum(floor(o_totalprice)::BIGINT) AS v FROM orders GROUP BY 1) ON c_custkey = o_custkey),
-ranked AS (SELECT *, row_number() OVER (ORDER BY volume DESC, ordinal) AS rank FROM tk WHERE symbol LIKE '%USDT'),
-pool AS (SELECT * FROM ranked WHERE rank <= 120),
-reasoned AS (
-  SELECT *, CASE WHEN regexp_matches(symbol, '[^\\x00-\\x7F]') THEN 'contains non-ASCII characters' WHEN NOT regexp_full_match(symbol, '[A-Z0-9]+USDT') THEN 'fails conservative regex ^[A-Z0-9]+USDT$'
-         WHEN length(symbol) < 6 THEN 'base asset shorter than 2 chars (''' || symbol[1:length(symbol) - 4] || ''')' WHEN regexp_full_match(symbol, '[0-9]+USDT') THEN 'base asset is digits only' ELSE 'ok' END AS reason FROM pool),
-flagged AS (SELECT *, reason = 'ok' AS sane, ordinal % 5 <> 0 AS supported, ordinal % 6 = 0 AS unhealthy FROM reasoned),
-nth AS (
-  SELECT *, CASE WHEN sane AND supported THEN count(*) FILTER (sane AND supported) OVER (ORDER BY rank) END AS nth_able, CASE WHEN sane AND supported AND NOT unhealthy THEN count(*) FILTER (sane AND supported AND NOT unhealthy) OVER (ORDER BY rank) END AS nth FROM flagged)"""
-
-
 def _selection(spark: SparkSession, sf_dir: str) -> universe.Selection:
     rows = _tickers(spark, sf_dir)
     return universe.select(rows, universe.SPOT_POOL, rows.where("ordinal % 5 <> 0").select("symbol"), rows.where("ordinal % 6 = 0 and symbol <> 'XUSDT'").select("symbol"))
