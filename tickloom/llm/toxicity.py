@@ -9,7 +9,6 @@ network is trained in numpy, on the windows that currently score highest in each
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -48,16 +47,27 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def telling(counts: dict[int, Counter], sizes: dict[int, int], limit: int) -> tuple[dict[str, int], np.ndarray]:
-    """A vocabulary of the commonest entries (from 1; 0 is unknown) and their shrunk log odds of label 1."""
-    total = counts[0] + counts[1]
-    chosen = sorted((w for w, n in total.items() if n >= LEAST_TEXTS), key=lambda w: (-total[w], w))[:limit]
+def telling(names: list[str], counts: np.ndarray, sizes: dict[int, int], limit: int) -> tuple[dict[str, int], np.ndarray]:
+    """A vocabulary of the commonest entries (from 1; 0 is unknown) and their shrunk log odds of label 1.
+
+    counts has a row per label: in how many texts each of names occurs.
+    """
+    total = counts.sum(0)
+    chosen = sorted(np.flatnonzero(total >= LEAST_TEXTS).tolist(), key=lambda i: (-total[i], names[i]))[:limit]
     odds = [0.0]
     base = sizes[1] / max(1, sizes[0] + sizes[1])
-    for w in chosen:
-        share = (counts[1][w] + 4 * base) / (total[w] + 4)
+    for i in chosen:
+        share = (counts[1, i] + 4 * base) / (total[i] + 4)
         odds.append(float(np.clip(math.log(share / (1 - share)) - math.log(base / (1 - base)), -4, 4)) if 0 < base < 1 else 0.0)
-    return {w: i + 1 for i, w in enumerate(chosen)}, np.array(odds)
+    return {names[i]: n + 1 for n, i in enumerate(chosen)}, np.array(odds)
+
+
+def occurrences(texts: list[np.ndarray], labels: list[int], size: int) -> np.ndarray:
+    """In how many texts of label 0 and 1 each id occurs."""
+    counts = np.zeros((2, size), np.int64)
+    for ids, y in zip(texts, labels):
+        counts[y, np.unique(ids)] += 1
+    return counts
 
 
 @dataclass
@@ -165,6 +175,15 @@ class Network:
         return g
 
 
+def pieces(ids: tuple, size: int = 10_000) -> Iterator[tuple[int, tuple]]:
+    """Parts of Network.ids with the number of their first word: arrays over all words at once are large."""
+    word, flat, first = ids
+    for lo in range(0, len(word), size):
+        hi = min(lo + size, len(word))
+        end = first[hi] if hi < len(word) else len(flat)
+        yield lo, (word[lo:hi], flat[first[lo] : end], first[lo:hi] - first[lo])
+
+
 def windows_of(n: int) -> np.ndarray:
     """Positions of the words of each window of a text of n words; -1 beyond its end."""
     starts = np.arange(0, max(1, n - WINDOW + STEP), STEP) if n > WINDOW else np.zeros(min(1, n), int)
@@ -174,24 +193,27 @@ def windows_of(n: int) -> np.ndarray:
 
 def train(texts: list[str], labels: list[int]) -> Network:
     """The network learned from these texts (0 or 1 each); Adam, the same for the same input."""
-    words = [terms(t) for t in texts]
+    vocabulary: dict[str, int] = {}
+    words = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in terms(t)], np.int32) for t in texts]
     sizes = {c: sum(y == c for y in labels) for c in (0, 1)}
-    seen = {c: Counter(chain.from_iterable(set(w) for w, y in zip(words, labels) if y == c)) for c in (0, 1)}
-    spelled = {c: Counter(chain.from_iterable(set(chain.from_iterable(map(grams, set(w)))) for w, y in zip(words, labels) if y == c)) for c in (0, 1)}
-    net = Network.fresh(*telling(seen, sizes, WORD_LIMIT), *telling(spelled, sizes, GRAM_LIMIT))
+    spelling: dict[str, int] = {}
+    spelled = [np.array([spelling.setdefault(g, len(spelling)) for g in grams(w)], np.int32) for w in vocabulary]
+    in_texts = (np.concatenate([spelled[w] for w in np.unique(t).tolist()] or [np.zeros(0, np.int32)]) for t in words)
+    by_word = telling(list(vocabulary), occurrences(words, labels, len(vocabulary)), sizes, WORD_LIMIT)
+    by_gram = telling(list(spelling), occurrences(in_texts, labels, len(spelling)), sizes, GRAM_LIMIT)
+    del spelled, spelling
+    net = Network.fresh(*by_word, *by_gram)
     if not sizes[0] or not sizes[1]:
         net.p["out"][:] = 0
         net.p["bias"][0] = 4.0 if sizes[1] else -4.0
         return net
-    vocabulary = {w: i for i, w in enumerate(sorted(set(chain.from_iterable(words))))}
     ids = net.ids(list(vocabulary))
-    hint = np.abs(net.inputs(ids)[:, [0, WIDTH]]).max(1)
+    hint = np.concatenate([np.abs(net.inputs(part)[:, [0, WIDTH]]).max(1) for _, part in pieces(ids)] or [np.zeros(0)])
     rows, owner = [], []
     for d, w in enumerate(words):
-        if w:
-            at = np.array([vocabulary[x] for x in w])
+        if len(w):
             win = windows_of(len(w))
-            win = np.where(win >= 0, at[win], -1)
+            win = np.where(win >= 0, w[win], -1)
             score = np.where(win >= 0, hint[win], 0).max(1)
             win = win[np.argsort(-score, kind="stable")[:WINDOWS]]
             rows.append(win)
@@ -239,8 +261,11 @@ class Scorer:
 
     @staticmethod
     def projections(net: Network, ids: tuple) -> np.ndarray:
-        x = net.inputs(ids)
-        return np.hstack([x @ net.p["x" + d] + net.p["c" + d] for d in "fb"]).astype(np.float32)
+        out = np.empty((len(ids[0]), 6 * HIDDEN), np.float32)
+        for lo, part in pieces(ids):
+            x = net.inputs(part)
+            out[lo : lo + len(x)] = np.hstack([x @ net.p["x" + d] + net.p["c" + d] for d in "fb"])
+        return out
 
     @staticmethod
     def logits(net: Network, table: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -255,7 +280,7 @@ class Scorer:
             self.index, self.table = {}, self.table[:0]
         fresh = sorted(set().union(*words) - self.index.keys()) if words else []
         self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
-        self.table = np.concatenate([self.table, *(self.projections(self.net, self.net.ids(fresh[i : i + 20_000])) for i in range(0, len(fresh), 20_000))])
+        self.table = np.concatenate([self.table, self.projections(self.net, self.net.ids(fresh))]) if fresh else self.table
         out, held, owner, size = np.zeros(len(texts)), [], [], 0
 
         def done() -> None:
