@@ -12,7 +12,7 @@ What is asked: the byte positions whose next LENGTH bytes also start anywhere el
    Burrows-Wheeler transform are built, and intervals are expanded breadth-first by backward extension: strings of
    growing length claim the right boundaries of their intervals, which are the common prefixes by increasing
    value, and the expansion stops at LENGTH. Boundaries never claimed join suffixes that share LENGTH bytes.
-4. A key with more than KEY_REGIONS different pieces (a passage that very many texts share, at its ends) is split
+4. A key with more than KEY_REGIONS different pieces (a passage that very many texts share, at its ends) is
    into its single positions, which are collapsed by hash in the same way before they reach a block.
 """
 
@@ -33,6 +33,8 @@ LENGTH = 400
 GRAM = 32
 #: Distances to the gram that one piece covers.
 REACH = 192
+#: The same for the smaller pieces of keys with very many pieces.
+SMALL_REACH = 16
 #: Positions handled at a time, and so the memory for one text.
 SEGMENT = 1 << 17
 #: Different pieces of one key that a block takes together.
@@ -267,14 +269,15 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = wanted[at : at + 2000]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w[c] for w in some], pa.int64()) for c in ("key", "digest", "copies")]
-                    + [pa.array([w["many"] for w in some], pa.bool_()), pa.array([data[w["start"] : w["start"] + w["positions"] - 1 + LENGTH] for w in some], pa.binary())],
-                    names=["key", "digest", "copies", "many", "bytes"],
+                    + [pa.array([w[c] for w in some], pa.bool_()) for c in ("many", "alone")] + [pa.array([data[w["start"] : w["start"] + w["positions"] - 1 + LENGTH] for w in some], pa.binary())],
+                    names=["key", "digest", "copies", "many", "alone", "bytes"],
                 )
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key come in; a block takes whole keys."""
-    held: list[tuple[int, int, int, bytes]] = []
+    """Rows sorted by alone and key come in; a block takes whole keys. Keys with one piece only come in blocks of
+    their own: their suffixes part early, and the expansion ends at once."""
+    held: list[tuple[int, int, int, bytes, bool]] = []
     size = 0
 
     def done() -> pa.RecordBatch:
@@ -284,8 +287,8 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(columns, names=["key", "digest", "low", "high"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes"))):
-            if size >= BLOCK and row[0] != held[-1][0]:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes", "alone"))):
+            if held and row[0] != held[-1][0] and (size >= BLOCK or row[4] != held[-1][4]):
                 yield done()
                 held, size = [], 0
             held.append(row)
@@ -294,19 +297,35 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes of the LENGTH bytes at every position of a piece."""
-    for batch in batches:
-        ones, twos = [], []
-        for data in batch.column("bytes").to_pylist():
-            part = np.frombuffer(data, np.uint8)
-            ones.append(Rolling(part, 0).windows(LENGTH).view(np.int64))
-            twos.append(Rolling(part, 1).windows(LENGTH).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("key", "digest", "copies")] + [_lists(ones, pa.int64()), _lists(twos, pa.int64())], names=["key", "digest", "copies", "one", "two"])
+def _parts(reach: int):
+    """Cuts pieces into smaller ones that cover `reach` distances to the piece's gram."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "digest", "copies", "at", "key2", "digest2", "bytes"]
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for key, digest, copies, data in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes"))):
+                part = np.frombuffer(data, np.uint8)
+                one, two = Rolling(part, 0), Rolling(part, 1)
+                grams = one.windows(GRAM)[: LENGTH - GRAM + 1]
+                gram = int(((grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64)).min() & INDEX)
+                count = len(data) - LENGTH + 1
+                band = (gram - np.arange(count)) // reach
+                first = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
+                size = np.diff(np.r_[first, count])
+                near = band[first] * reach
+                far = np.minimum(near + reach - 1, LENGTH - GRAM)
+                keys = mix(one.ranges(gram - near, gram - far + LENGTH) + band[first].astype(np.uint64)).view(np.int64)
+                digests = two.ranges(first, first + size - 1 + LENGTH).view(np.int64)
+                for c, v in zip(out, ([key] * len(first), [digest] * len(first), [copies] * len(first), first, keys, digests, [data[f : f + n - 1 + LENGTH] for f, n in zip(first.tolist(), size.tolist())])):
+                    c.extend(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "bytes" else pa.int64()) for n, c in zip(names, out)], names=names)
+
+    return cut
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    dealt = rows.select("key", "digest", "copies", "bytes").repartition("key").sortWithinPartitions("key")
+    dealt = rows.select("key", "digest", "copies", "bytes", "alone").repartition("key").sortWithinPartitions("alone", "key")
     return dealt.mapInArrow(_expand, "key bigint, digest bigint, low array<bigint>, high array<bigint>")
 
 
@@ -325,14 +344,15 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     shared = materialize(flat.join(again, "key"))
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node", "start")).alias("rep")
     regions = materialize(shared.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("copies"), F.first("positions").alias("positions"), rep))
-    many = regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions")).where(F.col("regions") > KEY_REGIONS).select("key", F.lit(True).alias("hot"))
-    wanted = regions.join(many, "key", "left").select("rep.doc_id", "rep.node", F.struct("key", "digest", "copies", F.coalesce("hot", F.lit(False)).alias("many"), F.col("rep.start").alias("start"), "positions").alias("w"))
+    sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions"))
+    flags = (F.col("regions") > KEY_REGIONS).alias("many"), (F.col("regions") == 1).alias("alone")
+    wanted = regions.join(sizes, "key").select("rep.doc_id", "rep.node", F.struct("key", "digest", "copies", *flags, F.col("rep.start").alias("start"), "positions").alias("w"))
     wanted = wanted.groupBy("doc_id", "node").agg(F.collect_list("w").alias("wanted")).select(F.col("doc_id").alias("d"), F.col("node").alias("n"), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("node") == F.col("n"))
-    fetched = materialize(slim.join(wanted, same).select("text", "wanted").mapInArrow(_fetch, "key bigint, digest bigint, copies bigint, many boolean, bytes binary"))
+    fetched = materialize(slim.join(wanted, same).select("text", "wanted").mapInArrow(_fetch, "key bigint, digest bigint, copies bigint, many boolean, alone boolean, bytes binary"))
     found = _blocks(fetched.where("not many"))
     if fetched.where("many").limit(1).count():
-        found = found.union(_split(fetched.where("many")))
+        found = found.union(_split(fetched.where("many"), SMALL_REACH))
     found = materialize(found)
     spots = shared.groupBy("node", "start", "key", "digest").agg(F.min("doc_id").alias("doc_id"))
     runs = spots.join(found, ["key", "digest"]).select("node", "doc_id", F.explode(F.arrays_zip("low", "high")).alias("r"), "start")
@@ -340,16 +360,23 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     return runs.groupBy("node").agg(F.min("doc_id").alias("rep"), F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
 
 
-def _split(hot: DataFrame) -> DataFrame:
-    """What _blocks gives, for keys with very many pieces: position by position, equal ones collapsed."""
-    hashed = materialize(hot.mapInArrow(_positions, "key bigint, digest bigint, copies bigint, one array<bigint>, two array<bigint>"))
-    spots = hashed.select("key", "digest", "copies", F.posexplode(F.arrays_zip("one", "two")).alias("at", "h")).select("key", "digest", "copies", "at", "h.one", "h.two")
-    heads = spots.groupBy("one", "two").agg(F.sum("copies").alias("copies"), F.min(F.struct("key", "digest", "at")).alias("rep")).where("copies > 1")
-    heads = heads.select(F.col("one"), F.col("two"), "copies", "rep.key", "rep.digest", "rep.at")
-    cut = heads.join(hot.select("key", "digest", "bytes"), ["key", "digest"]).select(F.col("one").alias("key"), F.col("two").alias("digest"), "copies", F.expr(f"substring(bytes, at + 1, {LENGTH})").alias("bytes"))
-    found = _blocks(cut.dropDuplicates(["key", "digest"])).select(F.col("key").alias("one"), F.col("digest").alias("two"))
-    hits = spots.join(found, ["one", "two"]).groupBy("key", "digest").agg(F.array_sort(F.collect_set(F.col("at").cast("long"))).alias("low"))
-    return hits.select("key", "digest", "low", F.col("low").alias("high"))
+def _split(hot: DataFrame, reach: int) -> DataFrame:
+    """What _blocks gives, for keys with very many pieces: cut into smaller pieces, the equal ones collapsed.
+
+    Keys that are still too many after that are cut into single positions, where all pieces of a key are equal.
+    """
+    parts = materialize(hot.select("key", "digest", "copies", "bytes").mapInArrow(_parts(reach), "key bigint, digest bigint, copies bigint, at bigint, key2 bigint, digest2 bigint, bytes binary"))
+    again = parts.groupBy("key2").agg(F.sum("copies").alias("times")).where("times > 1").select("key2")
+    parts = materialize(parts.join(again, "key2"))
+    regions = materialize(parts.groupBy(F.col("key2").alias("key"), F.col("digest2").alias("digest")).agg(F.sum("copies").alias("copies"), F.min("bytes").alias("bytes")))
+    sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions"))
+    regions = materialize(regions.join(sizes, "key").withColumn("alone", F.col("regions") == 1))
+    found, many = _blocks(regions.where(F.col("regions") <= KEY_REGIONS)), regions.where(F.col("regions") > KEY_REGIONS)
+    if reach > 1 and many.limit(1).count():
+        found = found.union(_split(many, 1))
+    hits = parts.select("key", "digest", "at", "key2", "digest2").join(found.toDF("key2", "digest2", "low", "high"), ["key2", "digest2"])
+    hits = hits.groupBy("key", "digest").agg(*[F.array_sort(F.flatten(F.collect_list(F.transform(c, lambda x: x + F.col("at"))))).alias(c) for c in ("low", "high")])
+    return hits.select("key", "digest", "low", "high")
 
 
 def _covered(runs: list[dict]) -> list[tuple[int, int]]:
