@@ -199,6 +199,8 @@ class Suffixes:
         symbol = np.where(before >= 0, self.text[before], 0)
         target = self.place[before]
         claimed = np.append(self.bounds, True)
+        if claimed.all():
+            return claimed[:n]
         lo = np.flatnonzero(self.bounds)
         hi = np.append(lo[1:], n)
         for _ in range(self.SEED, self.length):
