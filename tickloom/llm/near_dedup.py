@@ -149,33 +149,57 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): linked pairs that connect all texts that bands bring together.
 
-    In each band all members are compared with its smallest and its largest member. Members linked to neither
-    form what is left of the band, which gets new leaders, twice as many each round, until nothing is left: no
-    band is capped, and a band of alike texts costs two comparisons a member.
+    In each band all members are compared with two of them: the smallest, and the largest by an order that differs
+    among bands. A text that no link connects to one of the two, in this band or any other, then meets all members
+    of its bands in an exact join on rare shingles: no band is capped, and a band of alike texts costs two
+    comparisons a member.
     """
-    left = buckets.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    leaders = materialize(left.select("band", F.explode(F.array("lo", "hi")).alias("lead")))
-    rest = buckets
-    tested: DataFrame | None = None
-    many = 2
-    while True:
-        met = materialize(rest.join(leaders, "band").where("node <> lead").select("band", "node", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")))
-        pairs = met.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = materialize(_checked(pairs, sets))
-        tested = found if tested is None else materialize(tested.union(found))
-        linked = met.join(tested.where("linked").select("a", "b"), ["a", "b"]).select("band", "node")
-        covered = linked.union(leaders.select("band", F.col("lead").alias("node"))).distinct()
-        open_ = rest.join(leaders.select("band").distinct(), "band", "left_semi") if many == 2 else rest
-        rest = materialize(open_.join(covered, ["band", "node"], "left_anti"))
-        alive = rest.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band")
-        rest = materialize(rest.join(alive, "band", "left_semi"))
-        if not rest.limit(1).count():
-            return tested.where("linked").select("a", "b")
-        many *= 2
-        salt = F.pmod(F.xxhash64("node"), F.lit(many))
-        leaders = materialize(rest.groupBy("band", salt.alias("salt")).agg(F.min("node").alias("lead")).select("band", "lead"))
+    other = F.max_by("node", F.xxhash64("node", F.pmod("band", F.lit(3))))
+    heads = buckets.groupBy("band").agg(F.min("node").alias("lo"), F.when(F.pmod("band", F.lit(3)) == 0, F.max("node")).otherwise(other).alias("hi"))
+    leaders = materialize(heads.select("band", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("lead")))
+    met = buckets.join(leaders, "band").where("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    tested = materialize(_checked(met, sets))
+    links = tested.where("linked").select("a", "b")
+    labels = components(links)
+    own, led = labels.toDF("node", "label"), labels.toDF("lead", "label")
+    led = leaders.join(led, "lead", "left").select("band", F.coalesce("label", "lead").alias("label")).distinct()
+    rest = buckets.join(own, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    rest = materialize(rest.join(led, ["band", "label"], "left_anti").select("band", "node"))
+    near = buckets.join(rest.select("band").distinct(), "band", "left_semi").select("node").distinct()
+    near = near.join(rest.select("node").distinct().withColumn("probe", F.lit(True)), "node", "left").na.fill(False, ["probe"])
+    near = materialize(near.join(own, "node", "left").select("node", "probe", F.coalesce("label", "node").alias("label")))
+    pairs = _rare_pairs(sets.join(near, "node")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    return links.union(materialize(_checked(pairs, sets)).where("linked").select("a", "b"))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = [unpack(x) for x in batch.column("shingles").to_pylist()]
+        offsets = np.r_[0, np.cumsum([len(v) for v in values])].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*values, np.zeros(0, np.uint64)]).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("probe"), batch.column("label"), lists], names=["node", "probe", "label", "shingles"])
+
+
+def _rare_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b): every pair with a probe, not connected so far, that can reach the threshold by prefix and position.
+
+    With shingles in one order, rarest first, two sets that similar share one among the first n - ceil(t n) + 1 of
+    each; and the first they share leaves room for enough others behind it. Texts whose rare shingles are their own
+    meet nobody.
+    """
+    rows = sets.select("node", "probe", "label", "shingles").mapInArrow(_unpacked, "node binary, probe boolean, label binary, shingles array<bigint>")
+    each = materialize(rows.select("node", "probe", "label", F.explode("shingles").alias("shingle")))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    ordered = each.join(often, "shingle").groupBy("node", "probe", "label").agg(F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("s"))
+    n = F.size("s")
+    first = ordered.select("node", "probe", "label", n.alias("n"), F.posexplode(F.slice("s", F.lit(1), (n - F.ceil(n * THRESHOLD - 1e-9) + 1).cast("int"))).alias("at", "x"))
+    first = materialize(first.where("x.times > 1").select("node", "probe", "label", "n", "at", F.col("x.shingle").alias("shingle")))
+    x, y = first.where("probe").toDF("a", "ap", "al", "an", "aat", "shingle"), first.toDF("b", "bp", "bl", "bn", "bat", "shingle")
+    enough = F.ceil((F.col("an") + F.col("bn")) * (THRESHOLD / (1 + THRESHOLD)) - 1e-9)
+    fits = F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")) >= enough
+    once = (F.col("a") < F.col("b")) | ((F.col("a") > F.col("b")) & ~F.col("bp"))
+    x, y = x.withColumnRenamed("shingle", "as"), y.withColumnRenamed("shingle", "bs")
+    return x.join(y, (F.col("as") == F.col("bs")) & (F.col("al") != F.col("bl")) & fits & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
