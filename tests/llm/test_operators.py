@@ -188,6 +188,28 @@ def test_near_duplicates_equal_brute_force(spark, odd, none):
     assert near_dedup.one_per_class(none).count() == 0
 
 
+def chain():
+    """Four texts, each linked to the next only; the first and the last have the smallest and the largest node."""
+    for seed in range(100):
+        words = prose(134, 800 + seed).split()
+        texts = [" ".join(words[10 * i : 10 * i + 104]) for i in range(4)]
+        nodes = [hashlib.md5(t.encode()).digest() for t in texts]
+        if (min(nodes), max(nodes)) == (nodes[0], nodes[3]):
+            return texts
+    raise AssertionError
+
+
+def one_band(links):
+    """links, as if all texts had met in a single band."""
+    return lambda buckets, sets: links(buckets.select("node").distinct().withColumn("band", F.lit(0).cast("long")), sets)
+
+
+def test_near_duplicates_link_components_of_two_leaders(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "_links", one_band(near_dedup._links))
+    got = near_dedup.near_duplicates(table(spark, list(enumerate(chain())))).collect()
+    assert {r.doc_id: r.class_id for r in got} == dict.fromkeys(range(4), 0)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(50, 60)], "a long, b long")
     assert {r.node: r.label for r in components(edges).collect()} == {i: 0 if i <= 20 else 21 for i in range(41)} | {50: 50, 60: 50}

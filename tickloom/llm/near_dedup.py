@@ -150,9 +150,9 @@ def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): linked pairs that connect all texts that bands bring together.
 
     In each band all members are compared with two of them: the smallest, and the largest by an order that differs
-    among bands. A text that no link connects to one of the two, in this band or any other, then meets all members
-    of its bands in an exact join on rare shingles: no band is capped, and a band of alike texts costs two
-    comparisons a member.
+    among bands. Members outside the component that most members of a band are in then meet all members of their
+    bands in an exact join on rare shingles, so of two members that are not connected yet at least one does: no
+    band is capped, and a band of alike texts costs two comparisons a member.
     """
     other = F.max_by("node", F.xxhash64("node", F.pmod("band", F.lit(3))))
     heads = buckets.groupBy("band").agg(F.min("node").alias("lo"), F.when(F.pmod("band", F.lit(3)) == 0, F.max("node")).otherwise(other).alias("hi"))
@@ -161,10 +161,10 @@ def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     tested = materialize(_checked(met, sets))
     links = tested.where("linked").select("a", "b")
     labels = components(links)
-    own, led = labels.toDF("node", "label"), labels.toDF("lead", "label")
-    led = leaders.join(led, "lead", "left").select("band", F.coalesce("label", "lead").alias("label")).distinct()
-    rest = buckets.join(own, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    rest = materialize(rest.join(led, ["band", "label"], "left_anti").select("band", "node"))
+    own = labels.toDF("node", "label")
+    labelled = buckets.join(own, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    most = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("label"))
+    rest = materialize(labelled.join(most, ["band", "label"], "left_anti").select("band", "node"))
     near = buckets.join(rest.select("band").distinct(), "band", "left_semi").select("node").distinct()
     near = near.join(rest.select("node").distinct().withColumn("probe", F.lit(True)), "node", "left").na.fill(False, ["probe"])
     near = materialize(near.join(own, "node", "left").select("node", "probe", F.coalesce("label", "node").alias("label")))
