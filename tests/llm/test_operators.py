@@ -210,6 +210,15 @@ def test_near_duplicates_link_components_of_two_leaders(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in got} == dict.fromkeys(range(4), 0)
 
 
+def test_near_duplicates_link_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "_links", one_band(near_dedup._links))
+    rows = list(enumerate(chain()))
+    got = near_dedup.near_duplicates(table(spark, rows + [rows[1]] * 2)).collect()
+    assert Counter(r.class_id for r in got) == {0: 6}
+    null = table(spark, [(None, t) for _, t in [*rows, rows[1]]])
+    assert sum(r.kept for r in near_dedup.near_duplicates(null).collect()) == 1
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(50, 60)], "a long, b long")
     assert {r.node: r.label for r in components(edges).collect()} == {i: 0 if i <= 20 else 21 for i in range(41)} | {50: 50, 60: 50}

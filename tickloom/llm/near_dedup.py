@@ -216,7 +216,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     shared = buckets.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band")
     buckets = materialize(buckets.join(shared, "band"))
     wanted = buckets.select("node").distinct().join(nodes.select("node", "rep"), "node").withColumnRenamed("node", "n")
-    texts = slim.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    texts = slim.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").dropDuplicates(["node"])
     sets = materialize(texts.mapInArrow(_sets, "node binary, shingles binary"))
     labels = components(_links(buckets, sets))
     members = sketched.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("rows"))
