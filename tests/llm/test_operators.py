@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.oracle import same
 from tickloom.llm import decontamination, language_id, near_dedup, nearest, queries, shingles, source_mixing, suffix_dedup, token_counts, tool_calls, toxicity, url_filter
 from tickloom.llm.components import components
 
@@ -319,6 +320,24 @@ def test_url_rules_and_templates(spark, none):
     assert url_filter.judge(pages, labelled).count() == len(rows) and url_filter.judge(pages.limit(0), labelled.limit(0)).count() == 0
 
 
+def test_url_templates_of_deep_paths(spark):
+    deep = "/".join("abcdefghijk")
+    urls = [f"http://deep.net/a/b/c/d/e/{'spam' if i % 2 else 'news'}/{i}" for i in range(60)] + [f"http://deep.net/{deep}/x", f"http://deep.net/{deep}/y/7/z", f"http://deep.net/{deep}", "http://lone.net/" + "q/" * 40]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labelled = spark.createDataFrame([(i, i % 2) for i in range(60)], "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge(pages, labelled).collect()}
+    assert [got[i].verdict for i in range(60)] == ["allow", "block"] * 30
+    assert [got[i].template for i in range(60, 64)] == [f"/{deep}/x", f"/{deep}/y/*/z", f"/{deep}", "/q" * 40]
+    r = random.Random(11)
+    rows = [(i, f"http://h{i % 3}.net" + "".join(f"/{r.choice(WORDS[: r.choice([2, 60])])}" for _ in range(r.randint(0, 6)))) for i in range(600)]
+    marks = [(i, int(r.random() < 0.5)) for i in range(400)]
+    pages, labelled = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(marks, "page_id long, bad int")
+    con = duckdb.connect()
+    con.register("marks", labelled.toPandas())
+    con.register("shown", pages.toPandas())
+    same(url_filter.judge(pages, labelled), con, url_filter.judge_sql("shown", "marks"))
+
+
 def test_tool_calls(spark):
     schemas = {"add": {"type": "object", "required": ["x"], "properties": {"x": {"type": "integer", "minimum": 0}}, "additionalProperties": False}}
     m = [

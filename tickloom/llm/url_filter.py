@@ -8,6 +8,8 @@ reaches one half. Everything is DataFrame functions; the tree works on counts pe
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tickloom.llm.common import materialize
 
 #: The contract's rules.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Levels of the tree; deeper segments together are one variable tail.
+#: Levels that the SQL spells out; the tree of judge() is as deep as the paths.
 DEPTH = 6
 FANOUT, REPEATS = 12, 3
 SIMILAR, PRIOR, REJECT = 1.96, 5.0, 0.5
@@ -40,27 +42,34 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> C
 
 
 def shape(path: Column) -> Column:
-    """The path's segments, their digits generalised, at most DEPTH of them."""
+    """The path's segments, their digits generalised."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    parts = F.transform(parts, lambda s: F.regexp_replace(s, r"[0-9]+", "*"))
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH - 1), F.array(F.lit("**")))).otherwise(parts)
+    return F.transform(parts, lambda s: F.regexp_replace(s, r"[0-9]+", "*"))
 
 
 def templates(shapes: DataFrame) -> DataFrame:
     """shapes (host, shape, n, m, bad) with their template and its parent.
 
-    n counts pages, m the labelled ones, bad those labelled bad.
+    n counts pages, m the labelled ones, bad those labelled bad. The tree grows by a level a round until every
+    shape has ended; a shape that is alone below its template takes all its segments at once.
     """
-    rows = shapes.withColumn("template", F.lit("")).withColumn("parent", F.lit(""))
-    for i in range(DEPTH):
-        child = F.get("shape", F.lit(i))
-        nodes = rows.withColumn("child", child).where("child is not null").groupBy("host", F.col("template").alias("at"), "child").agg(F.sum("n").alias("n"))
-        wide = nodes.groupBy("host", "at").agg(((F.count(F.lit(1)) > FANOUT) & (F.count(F.lit(1)) * REPEATS > F.sum("n"))).alias("wide")).select(F.col("host").alias("h"), "at", "wide")
-        rows = rows.join(wide, (F.col("host") == F.col("h")) & (F.col("template") == F.col("at")), "left")
-        grown = F.concat("template", F.lit("/"), F.when(F.col("wide"), "*").otherwise(child))
-        rows = rows.select("host", "shape", "n", "m", "bad", F.when(child.isNotNull(), grown).otherwise(F.col("template")).alias("template"), F.when(child.isNotNull(), F.col("template")).otherwise(F.col("parent")).alias("parent"))
+    rows, ended, i = shapes.withColumn("template", F.lit("")).withColumn("parent", F.lit("")).withColumn("at", F.lit(0)), [], 0
+    while True:
+        ended.append(rows.where(F.col("at") == F.size("shape")).drop("at"))
+        rows = rows.where(F.col("at") < F.size("shape"))
+        if rows.isEmpty():
+            break
+        nodes = rows.groupBy("host", F.col("template").alias("above"), F.get("shape", F.lit(i)).alias("child")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("shapes"))
+        wide = nodes.groupBy("host", "above").agg(((F.count(F.lit(1)) > FANOUT) & (F.count(F.lit(1)) * REPEATS > F.sum("n"))).alias("wide"), (F.sum("shapes") == 1).alias("alone")).select(F.col("host").alias("h"), "above", "wide", "alone")
+        rows = rows.join(wide, (F.col("host") == F.col("h")) & (F.col("template") == F.col("above")))
+        until = F.when(F.col("alone"), F.size("shape")).otherwise(i + 1)
+        between = F.concat_ws("/", "template", F.slice("shape", F.lit(i + 1), until - i - 1))
+        parent = F.when(until > i + 1, between).otherwise(F.col("template"))
+        grown = F.concat(parent, F.lit("/"), F.when(F.col("wide"), "*").otherwise(F.get("shape", until - 1)))
+        rows = rows.select("host", "shape", "n", "m", "bad", grown.alias("template"), parent.alias("parent"), until.alias("at"))
         rows = materialize(rows)  # else every level would compute all levels above it twice
-    return rows
+        i += 1
+    return reduce(DataFrame.union, ended)
 
 
 def rejected(rows: DataFrame) -> DataFrame:
