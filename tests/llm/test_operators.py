@@ -81,6 +81,15 @@ def test_language_id(spark, odd, none):
     assert language_id.identify(none, queries.PIECE_VOCAB).count() == 0
 
 
+def test_language_id_keeps_rare_languages(spark):
+    rows = [(i, f"the and tion {i}", "en") for i in range(3000)] + [(5000 + i, f"der und ung {i}", "de") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, queries.PIECE_VOCAB, "text", "lang", "doc_id", 60)
+    assert model.languages == ["de", "en"]
+    assert language_id.Scorer(model).predict(["der und", "the and"])[0] == ["de", "en"]
+    assert language_id.most_of_each([8, 3000, 40], 108) == 60 and language_id.most_of_each([8, 40], 48) == float("inf")
+
+
 def test_mixing_meets_targets_and_the_sql(spark, odd, none):
     rows = [(i, prose(random.Random(i).randint(0, 60), i), None if i % 5 == 0 else f"s{i % 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -28,6 +28,8 @@ PART = 24
 FLOOR = 1e-7
 #: Added to each piece's count in each language.
 SMOOTHING = 0.1
+#: Rows that each language has in the training sample, if it has so many; values of the hash that draws them.
+LEAST, HASHES = 30, 1 << 53
 #: Distinct words kept by a worker, times languages.
 CACHE_CELLS = 1_600_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -152,16 +154,30 @@ class Scorer:
         return names, scores
 
 
+def most_of_each(sizes: list[int], max_docs: int) -> float:
+    """The most rows of one language, for about max_docs of all; what rare languages leave goes to the others."""
+    for i, n in enumerate(sorted(sizes)):
+        if n > (fair := max_docs / (len(sizes) - i)):
+            return max(fair, LEAST)
+        max_docs -= n
+    return float("inf")
+
+
 def fit(labelled: DataFrame, vocab_path: str, text: str, lang: str, key: str, max_docs: int) -> Model:
     """Piece counts of at most about max_docs labelled rows, chosen by a hash of their key and text.
 
+    Languages have equal parts in them, and those with fewer rows than their part have all, so that none is lost
+    in a large table; with very many languages each still has about LEAST.
     The pieces of a training word are those of the vocabulary's own segmentation. What reaches the driver is
     one count per piece and language, which the vocabulary bounds.
     """
     labelled = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("k")).where("text is not null and lang is not null")
-    n = labelled.count()
-    share = 1.0 if n <= max_docs else max_docs / n
-    sample = labelled.where(F.pmod(F.xxhash64("k", "text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else labelled
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    most = most_of_each(list(sizes.values()), max_docs)
+    sample = labelled
+    if below := [F.lit(x) for name, n in sorted(sizes.items()) if n > most for x in (name, int(most / n * HASHES))]:
+        limit = F.try_element_at(F.create_map(*below), F.col("lang"))
+        sample = labelled.where(limit.isNull() | (F.pmod(F.xxhash64("k", "text"), F.lit(HASHES)) < limit))
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import sentencepiece
