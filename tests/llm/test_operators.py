@@ -258,6 +258,18 @@ def test_leaks_are_found_and_clean_texts_left(spark, odd, none):
     assert decontamination.find_leaks(odd, bench.limit(0)).count() == 0 == decontamination.find_leaks(none, bench).count()
 
 
+def test_leaks_do_not_depend_on_shards(spark, monkeypatch):
+    items = [(i, prose(30 + 3 * i, 9000 + i).capitalize() + ". " + prose(8, 9500 + i).capitalize() + ".") for i in range(20)]
+    bench = spark.createDataFrame([*items, (98, None), (99, " ")], "item_id long, text string")
+    docs = table(spark, [(i, prose(300, i) + " zz " + items[i][1].split(" ", 3)[3] + " " + prose(100, 700 + i)) for i in range(20)])
+    find = lambda: {(r.doc_id, r.item_id): (round(r.score, 9), r.question_overlap, r.answer_overlap) for r in decontamination.find_leaks(docs, bench).collect()}
+    want = find()
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", 1500)
+    assert len(decontamination.shards(bench, "item_id", "text")) > 2
+    assert len(want) == 20 and find() == want
+    assert decontamination.without_leaks(docs, bench).count() == 0
+
+
 def test_gradients_and_learning(spark, odd, none):
     bad = ["zorgon", "blirt"]
     texts = [prose(60, i) + (f" {bad[i % 2]} " if i % 4 == 0 else " ") + prose(40, 300 + i) for i in range(240)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import free_name
+from tickloom.llm.common import free_name, materialize
 from tickloom.llm.shingles import SIZE, WORDS
 
 K1, B = 1.2, 0.75
@@ -45,28 +46,44 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return list(chain.from_iterable(parts[:-1])) or parts[-1], parts[-1]
 
 
+@dataclass
+class Whole:
+    """What scores and passages take from all items of a benchmark that have words.
+
+    frequencies has the items of each term, for the terms of one shard at least.
+    """
+
+    items: int
+    words: int
+    longest: int
+    frequencies: dict[str, int]
+
+
 class Index:
-    """Inverted lists with block maxima. Items without words are left out."""
+    """Inverted lists with block maxima. Items without words are left out. texts may be a shard of a whole."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], whole: Whole | None = None):
         words = [terms(t) for t in texts]
         self.items = [i for i, w in enumerate(words) if w]
         self.parts = {i: tuple(map(shingles, question_and_answer(texts[i]))) for i in self.items}
         sizes = np.array([len(words[i]) for i in self.items])
-        self.step = int(max(32, sizes.max())) if len(sizes) else 32
         lists: dict[str, list[tuple[int, int]]] = {}
         for n, i in enumerate(self.items):
             found, counts = np.unique(words[i], return_counts=True)
             for w, c in zip(found.tolist(), counts.tolist()):
                 lists.setdefault(w, []).append((n, c))
+        whole = whole or Whole(len(sizes), int(sizes.sum()), int(sizes.max(initial=0)), {w: len(found) for w, found in lists.items()})
+        self.step = max(32, whole.longest)
+        mean = whole.words / max(1, whole.items)
         self.vocabulary = {w: k for k, w in enumerate(lists)}
         self.postings: list[tuple[list[int], list[float]]] = []
         total = np.zeros(len(self.items))
         raw = []
-        for found in lists.values():
+        for w, found in lists.items():
             n, c = np.array(found).T
-            idf = np.log(1 + (len(self.items) - len(n) + 0.5) / (len(n) + 0.5))
-            raw.append((n, idf * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[n] / sizes.mean()))))
+            df = whole.frequencies[w]
+            idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+            raw.append((n, idf * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[n] / mean))))
             total[n] += raw[-1][1]
         self.ranges = max(1, min(len(self.items), 64, CELLS // max(1, len(raw))))
         self.range_of = np.arange(len(self.items)) * self.ranges // max(1, len(self.items))
@@ -189,12 +206,12 @@ def shingles_of_all(words: list[str]) -> dict[int, set[tuple[str, ...]]]:
     return {n: set(zip(*(words[i:] for i in range(n)))) for n in range(1, SIZE + 1)}
 
 
-def _column(text: Column, ids: list[int], items: list[str]) -> Column:
+def _column(text: Column, ids: list[int], items: list[str], whole: Whole | None) -> Column:
     """Array column of the leaks of a text against one shard of items, which travels with the task."""
 
     @F.pandas_udf(LEAKS)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(items)
+        index = Index(items, whole)
         for texts in batches:
             out: list = []
             for i in range(0, len(texts), 100):
@@ -205,18 +222,37 @@ def _column(text: Column, ids: list[int], items: list[str]) -> Column:
     return find(text)
 
 
-def shards(items: DataFrame, key: str, text: str) -> list[tuple[list, list[str]]]:
-    """Ids and texts of the items, in shards of bounded size."""
+def shards(items: DataFrame, key: str, text: str) -> list[tuple[list, list[str], Whole | None]]:
+    """Ids and texts of the items, in shards of bounded size, each with the figures of all shards if it is not alone."""
     rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null and k is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // SHARD_BYTES))
+    parts = [rows.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i) for i in range(n)]
+    wholes = _wholes(rows, parts) if n > 1 else [None]
     out = []
-    for i in range(n):
-        part = rows.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i).toPandas().sort_values(["k", "t"])
-        out.append((part["k"].tolist(), part["t"].tolist()))
+    for part, whole in zip(parts, wholes):
+        found = part.toPandas().sort_values(["k", "t"])
+        out.append((found["k"].tolist(), found["t"].tolist(), whole))
     return out
 
 
+def _wholes(rows: DataFrame, parts: list[DataFrame]) -> Iterator[Whole]:
+    """For each part of the items, the figures of them all; terms are found by the same code as in an index."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [terms(t) for t in batch["t"]]
+            yield pd.DataFrame({"n": pd.Series(map(len, words), dtype="int64"), "w": pd.Series([sorted(set(w)) for w in words], dtype=object)})
+
+    split = lambda items: items.select("t").mapInPandas(found, "n long, w array<string>").where("n > 0")
+    counts = split(rows).agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    often = materialize(split(rows).select(F.explode("w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")))
+    for part in parts:
+        own = split(part).select(F.explode("w").alias("w")).distinct()
+        table = often.join(own, "w", "left_semi").toPandas()
+        yield Whole(*(x or 0 for x in counts), dict(zip(table["w"], table["df"].tolist())))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows (doc_id, item_id, score, question_overlap, answer_overlap): each test item that a row of docs leaks.
 
@@ -225,8 +261,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
     leak nothing; repeated rows each give their rows; an empty benchmark or table gives none.
     """
     out = None
-    for ids, texts in shards(items, item_key, item_text):
-        rows = docs.select(F.col(key).alias("doc_id"), F.explode(_column(F.col(text), ids, texts)).alias("x"))
+    for ids, texts, whole in shards(items, item_key, item_text):
+        rows = docs.select(F.col(key).alias("doc_id"), F.explode(_column(F.col(text), ids, texts, whole)).alias("x"))
         rows = rows.select("doc_id", F.col("x.item").alias("item_id"), "x.score", F.col("x.question").alias("question_overlap"), F.col("x.answer").alias("answer_overlap"))
         out = rows if out is None else out.union(rows)
     return out
@@ -234,7 +270,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs, with their columns, without rows that leak a test item."""
-    for ids, texts in shards(items, item_key, item_text):
+    for ids, texts, whole in shards(items, item_key, item_text):
         own = free_name(docs, "leaks")
-        docs = docs.withColumn(own, F.size(_column(F.col(text), ids, texts))).where(F.col(own) == 0).drop(own)
+        docs = docs.withColumn(own, F.size(_column(F.col(text), ids, texts, whole))).where(F.col(own) == 0).drop(own)
     return docs
