@@ -1,46 +1,49 @@
 """Suffix-array dedup by threshold-bounded interval expansion.
 
-What is asked: the byte positions whose next LENGTH bytes also start anywhere else in the table.
+What is asked: the byte positions whose next `length` bytes also start anywhere else in the table.
 
 1. Every position belongs to the smallest hash of the 32-byte grams in its window (leftmost of equals). A run of
    positions with one such gram and one range of distances to it is a piece; all its windows share a core of
    bytes, whose hash is the piece's key. Equal windows therefore always meet under one key, wherever they are,
-   and a key that comes once is done.
+   and a key that comes once is done. Equal texts are one text with a weight from here on.
 2. Pieces of keys that come more often are collapsed by the hash of their bytes; one copy of each travels, with
    its number of copies as weight.
 3. The copies of whole keys are packed into blocks of bounded size. In each block a suffix order and its
    Burrows-Wheeler transform are built, and intervals are expanded breadth-first by backward extension: strings of
    growing length claim the right boundaries of their intervals, which are the common prefixes by increasing
-   value, and the expansion stops at LENGTH. Boundaries never claimed join suffixes that share LENGTH bytes.
-4. A key with more than KEY_REGIONS different pieces (a passage that very many texts share, at its ends) is
-   into its single positions, which are collapsed by hash in the same way before they reach a block.
+   value, and the expansion stops at `length`. Boundaries never claimed join suffixes that share `length` bytes.
+4. A key with more than KEY_REGIONS different pieces (a passage that very many texts share, at its ends) is cut
+   into smaller pieces and then into its single positions, which are collapsed by hash in the same way before they
+   reach a block.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import free_name, materialize
+from tickloom.llm.common import free_name, lasting, materialize, scratch
 from tickloom.llm.shingles import mix
 
 LENGTH = 400
 GRAM = 32
-#: Distances to the gram that one piece covers.
-REACH = 192
-#: The same for the smaller pieces of keys with very many pieces.
-SMALL_REACH = 16
+#: Distances to the gram that one piece covers, as a part of the length; and those of the smaller pieces of keys
+#: with very many pieces.
+REACH, SMALL_REACH = 0.48, 16
 #: Positions handled at a time, and so the memory for one text.
 SEGMENT = 1 << 17
 #: Different pieces of one key that a block takes together.
 KEY_REGIONS = 500
 #: Bytes of pieces that make a block.
 BLOCK = 600_000
+#: Length of the marked windows, and how many successive windows hold one that is marked: a passage of both
+#: together less one is marked in every text that has it.
+MARK, MARK_STEP = 220, 47
 INDEX = np.uint64((1 << 18) - 1)
 
 _rng = np.random.default_rng(20_240_229)
@@ -58,7 +61,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Rolling:
     """Hashes of any ranges of a byte array, from prefix sums modulo 2**64."""
 
-    SIZE = SEGMENT + LENGTH + 2
+    SIZE = 2 * SEGMENT
     POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __init__(self, data: np.ndarray, which: int):
@@ -91,137 +94,144 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[size - 1 : size - 1 + n])
 
 
-def pieces(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, positions, key, digest) of the pieces of one text."""
-    found = []
-    for at in range(0, len(data) - length + 1, SEGMENT):
-        part = np.frombuffer(data, np.uint8, min(SEGMENT + length - 1, len(data) - at), at)
-        one, two = Rolling(part, 0), Rolling(part, 1)
-        grams = one.windows(GRAM)
+def reach_of(length: int) -> int:
+    return max(1, int(length * REACH))
+
+
+def cut_text(data: bytes, length: int = LENGTH, marked: bool = False) -> tuple[np.ndarray, ...]:
+    """(start, positions, key, digest) of the pieces of one text, and the hashes of its marked windows."""
+    found, marks = [], [np.zeros(0, np.uint64)]
+    reach = reach_of(length)
+    for at in range(0, len(data) - min(length, MARK if marked else length) + 1, SEGMENT):
+        part = np.frombuffer(data, np.uint8, min(SEGMENT + max(length, MARK + MARK_STEP) - 1, len(data) - at), at)
+        one = Rolling(part, 0)
+        if marked and len(part) >= MARK:
+            windows = one.windows(MARK)
+            marks.append(np.unique(sliding_min(windows, min(MARK_STEP, len(windows)))))
+        part = part[: SEGMENT + length - 1]
+        if len(part) < length:
+            continue
+        two = Rolling(part, 1)
+        grams = one.windows(GRAM)[: len(part) - GRAM + 1]
         grams = (grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64)
         low = (sliding_min(grams, length - GRAM + 1) & INDEX).astype(np.int64)
         i = np.arange(len(low))
-        band = (low - i) // REACH
+        band = (low - i) // reach
         first = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (band[1:] != band[:-1])])
         count = np.diff(np.r_[first, len(low)])
-        near = band[first] * REACH
-        far = np.minimum(near + REACH - 1, length - GRAM)
+        near = band[first] * reach
+        far = np.minimum(near + reach - 1, length - GRAM)
         gram = low[first]
         key = mix(one.ranges(gram - near, gram - far + length) + band[first].astype(np.uint64))
         found.append((first + at, count, key, two.ranges(first, first + count - 1 + length)))
     if not found:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*found))
+        found = [(none, none, none.astype(np.uint64), none.astype(np.uint64))]
+    return *(np.concatenate(x) for x in zip(*found)), np.unique(np.concatenate(marks))
 
 
 class Suffixes:
-    """The suffixes of some byte strings in the order of their first bytes, and the expansion over them."""
+    """The suffixes of some byte strings in an order of their first `length` bytes, and the expansion over them.
 
-    #: Symbols packed into the first sort key, and the length of the strings the expansion starts from.
-    PACKED, SEED = 7, 28
+    Each string ends with a byte that UTF-8 does not have; a suffix that ends is like no other.
+    """
+
+    #: Bytes in the first sort key, and the length (at most) of the strings the expansion starts from.
+    PACKED, SEED, END = 8, 32, 255
 
     def __init__(self, strings: list[bytes], length: int):
         self.length = length
         sizes = np.array([len(s) for s in strings])
         ends = np.cumsum(sizes + 1) - 1
         self.n = int(ends[-1]) + 1
-        text = np.zeros(self.n, np.int64)
-        text[np.delete(np.arange(self.n), ends)] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
-        self.text, self.starts = text, ends - sizes
+        self.text = np.frombuffer(bytes([self.END]).join([*strings, b""]), np.uint8)
+        self.starts = ends - sizes
         self.which = np.repeat(np.arange(len(strings)), sizes + 1)
         self.left = ends[self.which] - np.arange(self.n)  # bytes before the string's end
         self._sort()
 
     def _sort(self) -> None:
-        """Rank by the first `length` symbols at least, doubling; only groups that are still tied are sorted."""
-        n, wide = self.n, np.r_[self.text, np.zeros(self.PACKED, np.int64)]
-        key, open_ = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(self.PACKED):
-            symbol = np.where(open_, wide[j : j + n], 0)
-            key = key * 257 + symbol
-            open_ &= symbol > 0
+        """Order by PACKED bytes, then by twice as many each time; only groups that are still tied are sorted.
+
+        A suffix that ends within the bytes compared is a group of its own, so ties never reach beyond an end.
+        """
+        n = self.n
+        key = np.full(n + self.PACKED, self.END, np.uint64)
+        key[:n] = self.text
+        size = 1
+        while size < self.PACKED:
+            key[:-size] = (key[:-size] << np.uint64(8 * size)) | key[size:]
+            size *= 2
+        key = key[:n]
         order = np.argsort(key, kind="stable")
         ordered = key[order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]]
+        new = np.append(True, ordered[1:] != ordered[:-1]) | (self.left[order] < self.PACKED)
         rank = np.empty(n, np.int64)
         rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
-        self.bounds = new
+        self.seed, self.bounds = self.PACKED, new.copy()
         h = self.PACKED
         while h < self.length:
-            if h == self.SEED:
-                self.bounds = new.copy()
-            size = np.diff(np.r_[np.flatnonzero(new), n])
-            tied = order[np.repeat(size > 1, size)]
-            tied = tied[self.left[tied] >= h]
-            if not len(tied):
-                if h < self.SEED:
-                    self.bounds = new.copy()
+            if h <= self.SEED:
+                self.seed, self.bounds = h, new.copy()
+            first = np.flatnonzero(new)
+            members = np.diff(np.append(first, n))
+            at = np.flatnonzero(np.repeat(members > 1, members))
+            if not len(at):
                 break
-            second = rank[tied + h] + 1
-            base = rank[tied]
-            sort = np.lexsort((second, base))
-            tied, base, second = tied[sort], base[sort], second[sort]
-            fresh = np.r_[True, (base[1:] != base[:-1]) | (second[1:] != second[:-1])]
-            # in their group, strings that ended come first; the rest follow in the order of the sort
-            group = np.r_[True, base[1:] != base[:-1]]
-            members = np.diff(np.r_[np.flatnonzero(group), len(tied)])
-            total = size[np.searchsorted(np.flatnonzero(new), base[group])]
-            place = np.repeat(base[group] + total - members, members) + np.arange(len(tied)) - np.repeat(np.flatnonzero(group), members)
-            at_end = np.repeat(total - members > 0, members)
-            ended = np.ones(n, bool)
-            ended[tied] = False
-            old = order[np.repeat(size > 1, size)]
-            old = old[ended[old]]
-            if len(old):  # they keep the front of their group, in any order
-                o = np.argsort(rank[old], kind="stable")
-                old = old[o]
-                g = np.r_[True, rank[old][1:] != rank[old][:-1]]
-                m = np.diff(np.r_[np.flatnonzero(g), len(old)])
-                order[np.repeat(rank[old][g], m) + np.arange(len(old)) - np.repeat(np.flatnonzero(g), m)] = old
-            order[place] = tied
-            new[place[fresh & (~group | at_end)]] = True
-            lead = np.maximum.accumulate(np.where(fresh, np.arange(len(tied)), 0))
-            rank[tied] = place[lead]
+            tied = order[at]
+            pair = rank[tied] * n + rank[tied + h]
+            sort = np.argsort(pair)
+            tied, pair = tied[sort], pair[sort]
+            fresh = np.append(True, pair[1:] != pair[:-1])
+            order[at] = tied
+            new[at[fresh]] = True
+            rank[tied] = at[fresh][np.cumsum(fresh) - 1]
             h *= 2
         self.order = order
         self.place = np.empty(n, np.int64)
         self.place[order] = np.arange(n)
 
     def expand(self) -> np.ndarray:
-        """True where a suffix does not share `length` symbols with the one before it in the order.
+        """True where a suffix does not share `length` bytes with the one before it in the order.
 
-        Starts from the intervals of all strings of SEED symbols (shorter, if they end); the strings grow by one
-        symbol to the left each step. An interval whose right boundary is claimed already isn't followed.
+        Starts from the intervals of all strings of SEED bytes (fewer, if they end); the strings grow by one byte
+        to the left each step. An interval whose right boundary is claimed already isn't followed.
         """
         n = self.n
-        before = self.order - 1
-        symbol = np.where(before >= 0, self.text[before], 0)
-        target = self.place[before]
         claimed = np.append(self.bounds, True)
         if claimed.all():
             return claimed[:n]
+        before = self.order - 1
+        symbol = np.where(before >= 0, self.text[before], self.END).astype(np.int64)
+        target = self.place[before]
         lo = np.flatnonzero(self.bounds)
         hi = np.append(lo[1:], n)
-        for _ in range(self.SEED, self.length):
-            if not len(lo):
-                break
+        single = lo[hi - lo == 1]
+        lo, hi = lo[hi - lo > 1], hi[hi - lo > 1]
+        for _ in range(self.seed, self.length):
+            # an interval of one suffix stays one, and its right boundary is known at once
+            to = target[single[symbol[single] != self.END]]
+            alone = to[~claimed[to + 1]]
             size = hi - lo
-            rows = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
             owner = np.repeat(np.arange(len(lo)), size)
+            rows = np.arange(len(owner)) + np.repeat(lo - (np.cumsum(size) - size), size)
             s = symbol[rows]
-            use = s > 0
-            to = target[rows[use]]
+            use = s != self.END
+            to, owner, s = target[rows[use]], owner[use], s[use]
             sort = np.argsort(to)
-            to, owner, s = to[sort], owner[use][sort], s[use][sort]
-            if not len(to):
-                break
-            first = np.r_[True, (owner[1:] != owner[:-1]) | (s[1:] != s[:-1])]
+            to, owner, s = to[sort], owner[sort], s[sort]
+            first = np.append(True, (owner[1:] != owner[:-1]) | (s[1:] != s[:-1]))[: len(to)]
             start = to[first]
-            end = to[np.append(first[1:], True)] + 1
+            end = to[np.append(first[1:], True)[: len(to)]] + 1
             free = ~claimed[end]
             claimed[end[free]] = True
+            claimed[alone + 1] = True
             lo, hi = start[free], end[free]
+            few = hi - lo == 1
+            single = np.concatenate([alone, lo[few]])
+            lo, hi = lo[~few], hi[~few]
+            if not len(single) and not len(lo):
+                break
         return claimed[:n]
 
 
@@ -254,52 +264,64 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*values, np.zeros(0, np.int64)]), kind))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [pieces((t or "").encode()) for t in batch.column("text").to_pylist()]
-        columns = [[r[i].view(np.int64) if i > 1 else r[i] for r in rows] for i in range(4)]
-        lists = [_lists(columns[0], pa.int64()), _lists(columns[1], pa.int64()), _lists(columns[2], pa.int64()), _lists(columns[3], pa.int64())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), *lists], names=["doc_id", "node", "start", "positions", "key", "digest"])
+def _cut(length: int, marked: bool) -> Callable:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [cut_text(t.encode(), length, marked) for t in batch.column("text").to_pylist()]
+            lists = [_lists([r[i].view(np.int64) for r in rows], pa.int64()) for i in range(5)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), *lists], names=["doc_id", "node", "start", "positions", "key", "digest", "marks"])
+
+    return cut
 
 
-def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fetch(length: int) -> Callable:
     """The bytes of the wanted pieces of each text."""
-    for batch in batches:
-        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-            data = text.encode()
-            for at in range(0, len(wanted), 2000):
-                some = wanted[at : at + 2000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w[c] for w in some], pa.int64()) for c in ("key", "digest", "copies")]
-                    + [pa.array([w[c] for w in some], pa.bool_()) for c in ("many", "alone")] + [pa.array([data[w["start"] : w["start"] + w["positions"] - 1 + LENGTH] for w in some], pa.binary())],
-                    names=["key", "digest", "copies", "many", "alone", "bytes"],
-                )
-
-
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by alone and key come in; a block takes whole keys. Keys with one piece only come in blocks of
-    their own: their suffixes part early, and the expansion ends at once."""
-    held: list[tuple[int, int, int, bytes, bool]] = []
-    size = 0
-
-    def done() -> pa.RecordBatch:
-        found = repeated([h[3] for h in held], np.array([h[2] for h in held]))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+                data = text.encode()
+                for at in range(0, len(wanted), 2000):
+                    some = wanted[at : at + 2000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([w[c] for w in some], pa.int64()) for c in ("key", "digest", "copies")]
+                        + [pa.array([w[c] for w in some], pa.bool_()) for c in ("many", "alone")]
+                        + [pa.array([data[w["start"] : w["start"] + w["positions"] - 1 + length] for w in some], pa.binary())],
+                        names=["key", "digest", "copies", "many", "alone", "bytes"],
+                    )
+
+    return fetch
+
+
+def _expand(length: int) -> Callable:
+    """Rows sorted by alone, key and digest come in; a block takes whole keys, each piece once. Keys with one piece
+    only come in blocks of their own: their suffixes part early, and the expansion ends at once."""
+
+    def done(held: list[tuple]) -> pa.RecordBatch:
+        found = repeated([h[3] for h in held], np.array([h[2] for h in held]), length)
         runs = [(h, *intervals(f)) for h, f in zip(held, found) if len(f)]
         columns = [pa.array([r[0][0] for r in runs], pa.int64()), pa.array([r[0][1] for r in runs], pa.int64()), _lists([r[1] for r in runs], pa.int64()), _lists([r[2] for r in runs], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["key", "digest", "low", "high"])
 
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes", "alone"))):
-            if held and row[0] != held[-1][0] and (size >= BLOCK or row[4] != held[-1][4]):
-                yield done()
-                held, size = [], 0
-            held.append(row)
-            size += len(row[3])
-    if held:
-        yield done()
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, int, bytes, bool]] = []
+        size = 0
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes", "alone"))):
+                if held and row[:2] == held[-1][:2]:
+                    continue
+                if held and row[0] != held[-1][0] and (size >= BLOCK or row[4] != held[-1][4]):
+                    yield done(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[3])
+        if held:
+            yield done(held)
+
+    return expand
 
 
-def _parts(reach: int):
+def _parts(length: int, reach: int) -> Callable:
     """Cuts pieces into smaller ones that cover `reach` distances to the piece's gram."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,137 +331,205 @@ def _parts(reach: int):
             for key, digest, copies, data in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes"))):
                 part = np.frombuffer(data, np.uint8)
                 one, two = Rolling(part, 0), Rolling(part, 1)
-                grams = one.windows(GRAM)[: LENGTH - GRAM + 1]
+                grams = one.windows(GRAM)[: length - GRAM + 1]
                 gram = int(((grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64)).min() & INDEX)
-                count = len(data) - LENGTH + 1
+                count = len(data) - length + 1
                 band = (gram - np.arange(count)) // reach
                 first = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
                 size = np.diff(np.r_[first, count])
                 near = band[first] * reach
-                far = np.minimum(near + reach - 1, LENGTH - GRAM)
-                keys = mix(one.ranges(gram - near, gram - far + LENGTH) + band[first].astype(np.uint64)).view(np.int64)
-                digests = two.ranges(first, first + size - 1 + LENGTH).view(np.int64)
-                for c, v in zip(out, ([key] * len(first), [digest] * len(first), [copies] * len(first), first, keys, digests, [data[f : f + n - 1 + LENGTH] for f, n in zip(first.tolist(), size.tolist())])):
+                far = np.minimum(near + reach - 1, length - GRAM)
+                keys = mix(one.ranges(gram - near, gram - far + length) + band[first].astype(np.uint64)).view(np.int64)
+                digests = two.ranges(first, first + size - 1 + length).view(np.int64)
+                for c, v in zip(out, ([key] * len(first), [digest] * len(first), [copies] * len(first), first, keys, digests, [data[f : f + n - 1 + length] for f, n in zip(first.tolist(), size.tolist())])):
                     c.extend(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "bytes" else pa.int64()) for n, c in zip(names, out)], names=names)
 
     return cut
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    dealt = rows.select("key", "digest", "copies", "bytes", "alone").repartition("key").sortWithinPartitions("alone", "key")
-    return dealt.mapInArrow(_expand, "key bigint, digest bigint, low array<bigint>, high array<bigint>")
+RUNS = "key bigint, digest bigint, low array<bigint>, high array<bigint>"
 
 
-def _slim(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return docs.select(F.col(key).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("node"), F.col(text).alias("text")).where(F.octet_length("text") >= LENGTH)
+def _blocks(rows: DataFrame, length: int) -> DataFrame:
+    dealt = rows.select("key", "digest", "copies", "bytes", "alone").repartition("key").sortWithinPartitions("alone", "key", "digest")
+    return dealt.mapInArrow(_expand(length), RUNS)
 
 
-def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(node, rep, low, high): for each text with repeats, by its digest, the runs of positions low to high whose
-    LENGTH bytes start elsewhere too; rep is the smallest key of a row with that text."""
-    slim = _slim(docs, text, key)
+def merged(hits: list[dict]) -> tuple[list[int], list[int]]:
+    """First and last of the runs of these positions (at, low and high relative to it); runs that touch are one."""
+    low: list[int] = []
+    high: list[int] = []
+    for a, b in sorted((h["at"] + x, h["at"] + y) for h in hits for x, y in zip(h["low"], h["high"])):
+        if high and a <= high[-1] + 1:
+            high[-1] = max(high[-1], b)
+        else:
+            low.append(a)
+            high.append(b)
+    return low, high
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [merged(h) for h in batch.column("hits").to_pylist()]
+        runs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("digest"), pa.array([f[0] for f in found], runs), pa.array([f[1] for f in found], runs)], names=["key", "digest", "low", "high"])
+
+
+def _slim(docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
+    return docs.select(F.col(key).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("node"), F.col(text).alias("text")).where(F.octet_length("text") >= least)
+
+
+def cut_texts(docs: DataFrame, text: str, key: str, length: int, marked: bool) -> DataFrame:
+    """(node, rep, copies, start, positions, key, digest, marks): the pieces of each different text, by its digest.
+
+    rep is the smallest key of a row with that text, copies how many rows have it.
+    """
+    slim = _slim(docs, text, key, min(length, MARK) if marked else length)
     id_type = slim.schema["doc_id"].dataType.simpleString()
-    cut = materialize(slim.mapInArrow(_cut, f"doc_id {id_type}, node binary, start array<bigint>, positions array<bigint>, key array<bigint>, digest array<bigint>"))
-    again = cut.select(F.explode("key").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    flat = cut.select("doc_id", "node", F.explode(F.arrays_zip("start", "positions", "key", "digest")).alias("p")).select("doc_id", "node", "p.*")
-    shared = materialize(flat.join(again, "key"))
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node", "start")).alias("rep")
-    regions = materialize(shared.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("copies"), F.first("positions").alias("positions"), rep))
-    sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions"))
+    lists = ["start", "positions", "key", "digest", "marks"]
+    cut = slim.mapInArrow(_cut(length, marked), f"doc_id {id_type}, node binary, " + ", ".join(f"{c} array<bigint>" for c in lists))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id"))["doc_id"].alias("rep")
+    return cut.groupBy("node").agg(rep, F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in lists])
+
+
+def repeats(docs: DataFrame, cut: DataFrame, text: str, key: str, length: int) -> DataFrame:
+    """(node, rep, hits): for each text of docs with repeats the pieces (at, low, high) in which windows start that
+    start elsewhere too, at low to high from the piece's start. cut is a written table of cut_texts.
+
+    Tables that joins read are written before, so that a key with very many rows can be split when it is joined.
+    """
+    weighed = cut.select("node", "copies", F.explode(F.arrays_zip("start", "positions", "key", "digest")).alias("p")).select("node", "copies", "p.*")
+    again = materialize(weighed.groupBy("key").agg(F.sum("copies").alias("times")).where("times > 1").select("key"))
+    shared = materialize(weighed.join(again, "key"))
+    rep = F.min(F.struct("node", "start")).alias("rep")
+    regions = materialize(shared.groupBy("key", "digest").agg(F.sum("copies").alias("copies"), F.first("positions").alias("positions"), rep))
+    sizes = materialize(regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions")))
     flags = (F.col("regions") > KEY_REGIONS).alias("many"), (F.col("regions") == 1).alias("alone")
-    wanted = regions.join(sizes, "key").select("rep.doc_id", "rep.node", F.struct("key", "digest", "copies", *flags, F.col("rep.start").alias("start"), "positions").alias("w"))
-    wanted = wanted.groupBy("doc_id", "node").agg(F.collect_list("w").alias("wanted")).select(F.col("doc_id").alias("d"), F.col("node").alias("n"), "wanted")
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("node") == F.col("n"))
-    fetched = materialize(slim.join(wanted, same).select("text", "wanted").mapInArrow(_fetch, "key bigint, digest bigint, copies bigint, many boolean, alone boolean, bytes binary"))
-    found = _blocks(fetched.where("not many"))
+    wanted = regions.join(sizes, "key").select("rep.node", F.struct("key", "digest", "copies", *flags, F.col("rep.start").alias("start"), "positions").alias("w"))
+    wanted = wanted.groupBy("node").agg(F.collect_list("w").alias("wanted")).join(cut.select("node", "rep"), "node")
+    fetched = _texts_of(docs, wanted, text, key, length).select("text", "wanted")
+    fetched = materialize(fetched.mapInArrow(_fetch(length), "key bigint, digest bigint, copies bigint, many boolean, alone boolean, bytes binary"))
+    found = _blocks(fetched.where("not many"), length)
     if fetched.where("many").limit(1).count():
-        found = found.union(_split(fetched.where("many"), SMALL_REACH))
+        found = found.union(_split(fetched.where("many").select("key", "digest", "copies", "bytes").dropDuplicates(["key", "digest"]), length, SMALL_REACH))
     found = materialize(found)
-    spots = shared.groupBy("node", "start", "key", "digest").agg(F.min("doc_id").alias("doc_id"))
-    runs = spots.join(found, ["key", "digest"]).select("node", "doc_id", F.explode(F.arrays_zip("low", "high")).alias("r"), "start")
-    runs = runs.select("node", "doc_id", (F.col("start") + F.col("r.low")).alias("low"), (F.col("start") + F.col("r.high")).alias("high"))
-    return runs.groupBy("node").agg(F.min("doc_id").alias("rep"), F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
+    spots = shared.select("node", F.col("start").alias("at"), "key", "digest").join(found, ["key", "digest"])
+    return spots.groupBy("node").agg(F.collect_list(F.struct("at", "low", "high")).alias("hits")).join(cut.select("node", "rep"), "node")
+
+
+def _texts_of(docs: DataFrame, nodes: DataFrame, text: str, key: str, least: int) -> DataFrame:
+    """nodes (node, rep, ...) with the text of a row that has them; more often than once if rows are repeated."""
+    slim = _slim(docs, text, key, least).withColumnsRenamed({"node": "n", "doc_id": "d"})
+    return slim.join(nodes, F.col("d").eqNullSafe(F.col("rep")) & (F.col("n") == F.col("node")))
 
 
-def _split(hot: DataFrame, reach: int) -> DataFrame:
+def _split(hot: DataFrame, length: int, reach: int) -> DataFrame:
     """What _blocks gives, for keys with very many pieces: cut into smaller pieces, the equal ones collapsed.
 
-    Keys that are still too many after that are cut into single positions, where all pieces of a key are equal.
+    Keys that are still too many after that are cut into single positions, where all pieces of a key are equal
+    (but for collisions of hashes, which are left to the blocks).
     """
-    parts = materialize(hot.select("key", "digest", "copies", "bytes").mapInArrow(_parts(reach), "key bigint, digest bigint, copies bigint, at bigint, key2 bigint, digest2 bigint, bytes binary"))
-    again = parts.groupBy("key2").agg(F.sum("copies").alias("times")).where("times > 1").select("key2")
+    parts = materialize(hot.mapInArrow(_parts(length, reach), "key bigint, digest bigint, copies bigint, at bigint, key2 bigint, digest2 bigint, bytes binary"))
+    again = materialize(parts.groupBy("key2").agg(F.sum("copies").alias("times")).where("times > 1").select("key2"))
     parts = materialize(parts.join(again, "key2"))
     regions = materialize(parts.groupBy(F.col("key2").alias("key"), F.col("digest2").alias("digest")).agg(F.sum("copies").alias("copies"), F.min("bytes").alias("bytes")))
-    sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions"))
+    sizes = materialize(regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions")))
     regions = materialize(regions.join(sizes, "key").withColumn("alone", F.col("regions") == 1))
-    found, many = _blocks(regions.where(F.col("regions") <= KEY_REGIONS)), regions.where(F.col("regions") > KEY_REGIONS)
-    if reach > 1 and many.limit(1).count():
-        found = found.union(_split(many, 1))
-    hits = parts.select("key", "digest", "at", "key2", "digest2").join(found.toDF("key2", "digest2", "low", "high"), ["key2", "digest2"])
-    hits = hits.groupBy("key", "digest").agg(*[F.array_sort(F.flatten(F.collect_list(F.transform(c, lambda x: x + F.col("at"))))).alias(c) for c in ("low", "high")])
-    return hits.select("key", "digest", "low", "high")
+    many = F.col("regions") > (KEY_REGIONS if reach > 1 else (1 << 62))
+    found = _blocks(regions.where(~many), length)
+    if regions.where(many).limit(1).count():
+        found = found.union(_split(regions.where(many).select("key", "digest", "copies", "bytes"), length, 1))
+    found = materialize(found.toDF("key2", "digest2", "low", "high"))
+    hits = parts.select("key", "digest", "at", "key2", "digest2").join(found, ["key2", "digest2"])
+    return hits.groupBy("key", "digest").agg(F.collect_list(F.struct("at", "low", "high")).alias("hits")).mapInArrow(_joined, RUNS)
 
 
-def _covered(runs: list[dict]) -> list[tuple[int, int]]:
-    """Maximal byte spans covered by windows that start in the runs, which come in order."""
+def marked_passages(cut: DataFrame) -> DataFrame:
+    """(node, n_passages): how many marked windows of a text stand in another row's text too."""
+    marks = cut.select("node", "copies", F.explode("marks").alias("mark"))
+    again = materialize(marks.groupBy("mark").agg(F.sum("copies").alias("times")).where("times > 1").select("mark"))
+    return marks.join(again, "mark").groupBy("node").agg(F.count(F.lit(1)).alias("n_passages"))
+
+
+def _covered(hits: list[dict], length: int) -> list[tuple[int, int]]:
+    """Maximal byte spans covered by windows that start at these positions."""
     spans: list[list[int]] = []
-    for r in runs:
-        a, b = r["low"], r["high"] + LENGTH
+    for a, b in zip(*merged(hits)):
         if spans and a <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], b)
+            spans[-1][1] = b + length
         else:
-            spans.append([a, b])
+            spans.append([a, b + length])
     return [(a, b) for a, b in spans]
 
 
-def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
-    data, out, at = text.encode(), [], 0
+def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    out, at = [], 0
     for a, b in spans:
         out.append(data[at:a])
         at = b
     return b"".join([*out, data[at:]])
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = [_covered(r) for r in batch.column("runs").to_pylist()]
-        digests = [hashlib.sha256(_kept(t, s)).hexdigest() for t, s in zip(batch.column("text").to_pylist(), spans)]
-        columns = [batch.column("node"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=["node", "n_removed", "n_spans", "kept_sha256"])
+def _report(length: int) -> Callable:
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [_covered(r, length) for r in batch.column("hits").to_pylist()]
+            digests = [hashlib.sha256(_kept(t.encode(), s)).hexdigest() for t, s in zip(batch.column("text").to_pylist(), spans)]
+            columns = [batch.column("node"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n_removed", "n_spans", "kept_sha256"])
 
+    return report
 
-def _trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept = [_kept(t, _covered(r)).decode("utf-8", "ignore") for t, r in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(kept, pa.string())], names=["node", "kept"])
+
+def _trim(length: int, least_words: int) -> Callable:
+    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
+                data = text.encode()
+                spans = [(a, b) for a, b in _covered(hits, length) if len(data[a:b].split()) >= least_words]
+                kept.append(_kept(data, spans).decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(kept, pa.string())], names=["node", "kept"])
+
+    return trim
 
 
-def _by_text(docs: DataFrame, text: str, key: str, what, schema: str) -> DataFrame:
-    """One row per text with repeats, from what(batches of node, text, runs)."""
-    found = repeats(docs, text, key).withColumnRenamed("node", "n")
-    rows = _slim(docs, text, key).join(found, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text", "runs")
-    return rows.mapInArrow(what, schema).dropDuplicates(["node"])
+def _by_text(docs: DataFrame, cut: DataFrame, text: str, key: str, length: int, what: Callable, schema: str) -> DataFrame:
+    """One row per text with repeats, from what(batches of node, text, hits)."""
+    found = repeats(docs, cut, text, key, length)
+    return _texts_of(docs, found, text, key, length).select("node", "text", "hits").mapInArrow(what, schema).dropDuplicates(["node"])
 
 
-def dedup_report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for every row of docs.
+def dedup_report(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages), one for every row of docs.
 
-    Texts are UTF-8 bytes; null counts as empty. Every byte covered by LENGTH bytes that start anywhere else too,
+    Texts are UTF-8 bytes; null counts as empty. Every byte covered by `length` bytes that start anywhere else too,
     in this text or another row, is removed; matches never cross rows. Repeated rows are copies of each other,
-    so all their bytes go once they have LENGTH. Null keys, extra columns and empty tables are fine.
+    so all their bytes go once they have `length`. n_passages tells how many marked windows of MARK bytes stand in
+    another row too; a passage of MARK + MARK_STEP - 1 bytes that another row has holds one at least, so it shows
+    shared passages that are too short to be removed. Very long texts are cut in segments, ties cannot arise, null
+    keys, extra columns of any name and empty tables are fine.
     """
-    found = materialize(_by_text(docs, text, key, _report, "node binary, n_removed bigint, n_spans bigint, kept_sha256 string"))
+    spark = docs.sparkSession
+    with scratch(spark):
+        cut = materialize(cut_texts(docs, text, key, length, True))
+        removed = _by_text(docs, cut, text, key, length, _report(length), "node binary, n_removed bigint, n_spans bigint, kept_sha256 string")
+        found = lasting(materialize(removed).join(marked_passages(cut), "node", "full"))
     t: Column = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("node"), F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t, 256).alias("whole"))
     rows = rows.join(found, "node", "left")
-    return rows.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return rows.select("doc_id", "n_bytes", number("n_removed"), number("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), number("n_passages"))
 
 
-def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, least_words: int = 0) -> DataFrame:
     """docs, with all rows and columns, their texts without repeated bytes (and without what a cut leaves of a
-    character)."""
-    found = materialize(_by_text(docs, text, key, _trim, "node binary, kept string"))
+    character). Of what `length` repeated bytes cover, runs of fewer than least_words words stay."""
+    spark = docs.sparkSession
+    with scratch(spark):
+        cut = materialize(cut_texts(docs, text, key, length, False))
+        found = lasting(_by_text(docs, cut, text, key, length, _trim(length, least_words), "node binary, kept string"))
     row, node = free_name(docs, "row"), free_name(docs, "node")
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias(row)).withColumn(node, F.unhex(F.md5(F.col(row)[text])))
     found = found.select(F.col("node").alias("found_node"), F.col("kept").alias("found_kept"))
