@@ -10,9 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontamination, language_id, near_dedup, source_mixing, suffix_dedup
-from tickloom.llm.common import materialize, table
+from tickloom.llm.common import lasting, scratch, table
 from tickloom.llm.queries import PIECE_VOCAB
 
+#: Least words of a passage that is cut, and bytes that such passages have in common at least (fifty-one words of
+#: four letters, and blanks).
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 250
+
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go."""
@@ -25,8 +29,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes that stand elsewhere too leave the texts; no document goes."""
-    return suffix_dedup.without_repeats(docs)
+    """Passages of over fifty words that stand elsewhere too leave the texts; no document goes."""
+    return suffix_dedup.without_repeats(docs, length=PASSAGE_BYTES, least_words=PASSAGE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = lasting(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
