@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.oracle import same
 from tickloom.llm import decontamination, language_id, near_dedup, nearest, queries, shingles, source_mixing, suffix_dedup, token_counts, tool_calls, toxicity, url_filter
+from tickloom.llm.common import materialize
 from tickloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label string, node string, key string, row string, size long"
@@ -144,19 +145,42 @@ def test_interval_expansion_equals_brute_force():
 
 @pytest.mark.parametrize("most", [500, 1])
 def test_suffix_dedup_equals_brute_force(spark, none, most, monkeypatch):
-    passage = prose(100, 50)
+    passage, short = prose(100, 50), prose(60, 51)[:330]
     rows = [(i, prose(30 + i, i) + " " + passage + " " + prose(20, 1000 + i)) for i in range(12)] + [(20, passage), (21, passage), (22, None), (23, ""), (24, "é" * 300), (25, "xé" * 50 + "é" * 260), (26, "ab" * 500), (None, prose(150, 3)), (27, prose(150, 3))]
+    rows += [(30 + i, prose(20 + i, 60 + i) + " " + short + " " + prose(10, 70 + i)) for i in range(3)]
     docs = table(spark, rows)
     monkeypatch.setattr(suffix_dedup, "KEY_REGIONS", most)  # 1: every shared key goes through the split
-    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_report(docs).collect())
+    got = suffix_dedup.dedup_report(docs).collect()
     want = brute_repeats([(t or "").encode() for _, t in rows], suffix_dedup.LENGTH)
-    assert got == Counter((i, *w) for (i, _), w in zip(rows, want))
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((i, *w) for (i, _), w in zip(rows, want))
+    assert {r.doc_id for r in got if r.shares_passage} == {*range(12), 20, 21, 24, 25, None, 27, 30, 31, 32}
     if most > 1:
         assert suffix_dedup.dedup_report(none).count() == 0
         cut = suffix_dedup.without_repeats(docs)
         assert cut.columns == docs.columns and cut.count() == docs.count()
         kept = {r.doc_id: r.text for r in cut.collect()}
-        assert kept[20] == "" and kept[22] is None and passage not in kept[3]
+        assert kept[20] == "" and kept[22] is None and passage not in kept[3] and short in kept[30]
+        kept = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, length=250, least_words=51).collect()}
+        assert short not in kept[30] and kept[26] == "ab" * 500 and passage not in kept[3]
+
+
+def test_suffix_dedup_reads_over_segments(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 1 << 10)
+    passage = prose(80, 52)
+    rows = [(i, prose(300 + 37 * i, 80 + i) + " " + passage + " " + prose(250, 90 + i) + passage[:450]) for i in range(4)]
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_report(table(spark, rows)).collect())
+    assert got == Counter((i, *w) for (i, _), w in zip(rows, brute_repeats([t.encode() for _, t in rows], suffix_dedup.LENGTH)))
+
+
+def test_runs_of_a_hot_passage_are_joined(spark, monkeypatch):
+    """A passage at the edges of which very many texts differ: one run per text and piece, not one per position."""
+    monkeypatch.setattr(suffix_dedup, "KEY_REGIONS", 20)
+    passage = prose(90, 53)
+    rows = [(i, prose(12, 2000 + i) + " " + passage + " " + prose(12, 3000 + i)) for i in range(120)]
+    docs = table(spark, rows)
+    cut = materialize(suffix_dedup.cut_texts(docs, "text", "doc_id", suffix_dedup.LENGTH, False))
+    hits = suffix_dedup.repeats(docs, cut, "text", "doc_id", suffix_dedup.LENGTH).collect()
+    assert len(hits) == 120 and sum(len(h["low"]) for r in hits for h in r.hits) <= 8 * 120
 
 
 def test_dart_signatures_estimate_weighted_similarity():

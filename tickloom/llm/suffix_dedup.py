@@ -2,10 +2,10 @@
 
 What is asked: the byte positions whose next `length` bytes also start anywhere else in the table.
 
-1. Every position belongs to the smallest hash of the 32-byte grams in its window (leftmost of equals). A run of
-   positions with one such gram and one range of distances to it is a piece; all its windows share a core of
-   bytes, whose hash is the piece's key. Equal windows therefore always meet under one key, wherever they are,
-   and a key that comes once is done. Equal texts are one text with a weight from here on.
+1. Every window has a core of about half its length, chosen by mod-sampling: the place of the smallest hash of its
+   short grams (leftmost of equals), modulo the number of places that a core has. A run of positions with one core is
+   a piece, and the core's hash is the piece's key. Equal windows therefore always meet under one key, wherever they
+   are, and a key that comes once is done.
 2. Pieces of keys that come more often are collapsed by the hash of their bytes; one copy of each travels, with
    its number of copies as weight.
 3. The copies of whole keys are packed into blocks of bounded size. In each block a suffix order and its
@@ -31,19 +31,19 @@ from tickloom.llm.common import free_name, lasting, materialize, scratch
 from tickloom.llm.shingles import mix
 
 LENGTH = 400
-GRAM = 32
-#: Distances to the gram that one piece covers, as a part of the length; and those of the smaller pieces of keys
-#: with very many pieces.
-REACH, SMALL_REACH = 0.48, 16
+#: Bytes of the grams by which a core is chosen.
+GRAM = 19
+#: Distances to the core that the smaller pieces of keys with very many pieces cover.
+SMALL_REACH = 16
 #: Positions handled at a time, and so the memory for one text.
 SEGMENT = 1 << 17
 #: Different pieces of one key that a block takes together.
 KEY_REGIONS = 500
 #: Bytes of pieces that make a block.
-BLOCK = 600_000
-#: Length of the marked windows, and how many successive windows hold one that is marked: a passage of both
-#: together less one is marked in every text that has it.
-MARK, MARK_STEP = 220, 47
+BLOCK = 250_000
+#: Length of the marked windows, and how many successive windows hold one that is marked (the one with the smallest
+#: hash of its first gram): a passage of both together less one is marked alike in every text that has it.
+MARK, MARK_STEP = 200, 63
 INDEX = np.uint64((1 << 18) - 1)
 
 _rng = np.random.default_rng(20_240_229)
@@ -94,35 +94,38 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[size - 1 : size - 1 + n])
 
 
-def reach_of(length: int) -> int:
-    return max(1, int(length * REACH))
+def core_of(length: int) -> int:
+    """Bytes of a core: so many that grams, cores and windows fit as mod-sampling wants it for few different cores."""
+    return (length + GRAM + 1) // 2
+
+
+def cores(grams: np.ndarray, length: int) -> np.ndarray:
+    """Where the core of each window starts; grams are the hashes of all grams."""
+    low = sliding_min((grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1) & INDEX
+    at = np.arange(len(low))
+    return at + (low.astype(np.int64) - at) % (length - core_of(length) + 1)
 
 
 def cut_text(data: bytes, length: int = LENGTH, marked: bool = False) -> tuple[np.ndarray, ...]:
     """(start, positions, key, digest) of the pieces of one text, and the hashes of its marked windows."""
     found, marks = [], [np.zeros(0, np.uint64)]
-    reach = reach_of(length)
+    size = core_of(length)
     for at in range(0, len(data) - min(length, MARK if marked else length) + 1, SEGMENT):
         part = np.frombuffer(data, np.uint8, min(SEGMENT + max(length, MARK + MARK_STEP) - 1, len(data) - at), at)
         one = Rolling(part, 0)
-        if marked and len(part) >= MARK:
-            windows = one.windows(MARK)
-            marks.append(np.unique(sliding_min(windows, min(MARK_STEP, len(windows)))))
+        grams = one.windows(GRAM)
+        if marked and (n := len(part) - MARK + 1) > 0:
+            chosen = sliding_min((grams[:n] & ~INDEX) | np.arange(n, dtype=np.uint64), min(MARK_STEP, n))
+            chosen = (chosen[np.append(True, chosen[1:] != chosen[:-1])] & INDEX).astype(np.int64)
+            marks.append(one.ranges(chosen, chosen + MARK))
         part = part[: SEGMENT + length - 1]
         if len(part) < length:
             continue
         two = Rolling(part, 1)
-        grams = one.windows(GRAM)[: len(part) - GRAM + 1]
-        grams = (grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64)
-        low = (sliding_min(grams, length - GRAM + 1) & INDEX).astype(np.int64)
-        i = np.arange(len(low))
-        band = (low - i) // reach
-        first = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (band[1:] != band[:-1])])
-        count = np.diff(np.r_[first, len(low)])
-        near = band[first] * reach
-        far = np.minimum(near + reach - 1, length - GRAM)
-        gram = low[first]
-        key = mix(one.ranges(gram - near, gram - far + length) + band[first].astype(np.uint64))
+        core = cores(grams[: len(part) - GRAM + 1], length)
+        first = np.flatnonzero(np.append(True, core[1:] != core[:-1]))
+        count = np.diff(np.append(first, len(core)))
+        key = one.ranges(core[first], core[first] + size)
         found.append((first + at, count, key, two.ranges(first, first + count - 1 + length)))
     if not found:
         none = np.zeros(0, np.int64)
@@ -163,7 +166,7 @@ class Suffixes:
             key[:-size] = (key[:-size] << np.uint64(8 * size)) | key[size:]
             size *= 2
         key = key[:n]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.append(True, ordered[1:] != ordered[:-1]) | (self.left[order] < self.PACKED)
         rank = np.empty(n, np.int64)
@@ -203,7 +206,7 @@ class Suffixes:
             return claimed[:n]
         before = self.order - 1
         symbol = np.where(before >= 0, self.text[before], self.END).astype(np.int64)
-        target = self.place[before]
+        target = self.place[before].astype(np.int32)
         lo = np.flatnonzero(self.bounds)
         hi = np.append(lo[1:], n)
         single = lo[hi - lo == 1]
@@ -322,7 +325,7 @@ def _expand(length: int) -> Callable:
 
 
 def _parts(length: int, reach: int) -> Callable:
-    """Cuts pieces into smaller ones that cover `reach` distances to the piece's gram."""
+    """Cuts pieces into smaller ones that cover `reach` distances to the piece's core."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "digest", "copies", "at", "key2", "digest2", "bytes"]
@@ -331,15 +334,14 @@ def _parts(length: int, reach: int) -> Callable:
             for key, digest, copies, data in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "copies", "bytes"))):
                 part = np.frombuffer(data, np.uint8)
                 one, two = Rolling(part, 0), Rolling(part, 1)
-                grams = one.windows(GRAM)[: length - GRAM + 1]
-                gram = int(((grams & ~INDEX) | np.arange(len(grams), dtype=np.uint64)).min() & INDEX)
+                core = int(cores(one.windows(GRAM)[: length - GRAM + 1], length)[0])
                 count = len(data) - length + 1
-                band = (gram - np.arange(count)) // reach
-                first = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
-                size = np.diff(np.r_[first, count])
+                band = (core - np.arange(count)) // reach
+                first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+                size = np.diff(np.append(first, count))
                 near = band[first] * reach
-                far = np.minimum(near + reach - 1, length - GRAM)
-                keys = mix(one.ranges(gram - near, gram - far + length) + band[first].astype(np.uint64)).view(np.int64)
+                far = np.minimum(near + reach - 1, length - core_of(length))
+                keys = mix(one.ranges(core - near, core - far + length) + band[first].astype(np.uint64)).view(np.int64)
                 digests = two.ranges(first, first + size - 1 + length).view(np.int64)
                 for c, v in zip(out, ([key] * len(first), [digest] * len(first), [copies] * len(first), first, keys, digests, [data[f : f + n - 1 + length] for f, n in zip(first.tolist(), size.tolist())])):
                     c.extend(v)
@@ -381,41 +383,40 @@ def _slim(docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
 
 
 def cut_texts(docs: DataFrame, text: str, key: str, length: int, marked: bool) -> DataFrame:
-    """(node, rep, copies, start, positions, key, digest, marks): the pieces of each different text, by its digest.
-
-    rep is the smallest key of a row with that text, copies how many rows have it.
-    """
+    """(doc_id, node, start, positions, key, digest, marks): the pieces of each text; node is the text's digest."""
     slim = _slim(docs, text, key, min(length, MARK) if marked else length)
-    id_type = slim.schema["doc_id"].dataType.simpleString()
-    lists = ["start", "positions", "key", "digest", "marks"]
-    cut = slim.mapInArrow(_cut(length, marked), f"doc_id {id_type}, node binary, " + ", ".join(f"{c} array<bigint>" for c in lists))
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id"))["doc_id"].alias("rep")
-    return cut.groupBy("node").agg(rep, F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in lists])
+    lists = ", ".join(f"{c} array<bigint>" for c in ("start", "positions", "key", "digest", "marks"))
+    return slim.mapInArrow(_cut(length, marked), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, node binary, {lists}")
+
+
+def _first(*more: str) -> Column:
+    """The row with the smallest key, null last, of a group."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *more)).alias("rep")
 
 
 def repeats(docs: DataFrame, cut: DataFrame, text: str, key: str, length: int) -> DataFrame:
     """(node, rep, hits): for each text of docs with repeats the pieces (at, low, high) in which windows start that
-    start elsewhere too, at low to high from the piece's start. cut is a written table of cut_texts.
+    start elsewhere too, at low to high from the piece's start; rep is the smallest key of a row with that text. cut is
+    a written table of cut_texts.
 
     Tables that joins read are written before, so that a key with very many rows can be split when it is joined.
     """
-    weighed = cut.select("node", "copies", F.explode(F.arrays_zip("start", "positions", "key", "digest")).alias("p")).select("node", "copies", "p.*")
-    again = materialize(weighed.groupBy("key").agg(F.sum("copies").alias("times")).where("times > 1").select("key"))
-    shared = materialize(weighed.join(again, "key"))
-    rep = F.min(F.struct("node", "start")).alias("rep")
-    regions = materialize(shared.groupBy("key", "digest").agg(F.sum("copies").alias("copies"), F.first("positions").alias("positions"), rep))
+    again = materialize(cut.select(F.explode("key").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key"))
+    flat = cut.select("doc_id", "node", F.explode(F.arrays_zip("start", "positions", "key", "digest")).alias("p")).select("doc_id", "node", "p.*")
+    shared = materialize(flat.join(again, "key"))
+    regions = materialize(shared.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("copies"), F.first("positions").alias("positions"), _first("node", "start")))
     sizes = materialize(regions.groupBy("key").agg(F.count(F.lit(1)).alias("regions")))
     flags = (F.col("regions") > KEY_REGIONS).alias("many"), (F.col("regions") == 1).alias("alone")
-    wanted = regions.join(sizes, "key").select("rep.node", F.struct("key", "digest", "copies", *flags, F.col("rep.start").alias("start"), "positions").alias("w"))
-    wanted = wanted.groupBy("node").agg(F.collect_list("w").alias("wanted")).join(cut.select("node", "rep"), "node")
+    wanted = regions.join(sizes, "key").select("rep.doc_id", "rep.node", F.struct("key", "digest", "copies", *flags, F.col("rep.start").alias("start"), "positions").alias("w"))
+    wanted = wanted.groupBy("doc_id", "node").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("doc_id", "rep")
     fetched = _texts_of(docs, wanted, text, key, length).select("text", "wanted")
     fetched = materialize(fetched.mapInArrow(_fetch(length), "key bigint, digest bigint, copies bigint, many boolean, alone boolean, bytes binary"))
     found = _blocks(fetched.where("not many"), length)
     if fetched.where("many").limit(1).count():
         found = found.union(_split(fetched.where("many").select("key", "digest", "copies", "bytes").dropDuplicates(["key", "digest"]), length, SMALL_REACH))
     found = materialize(found)
-    spots = shared.select("node", F.col("start").alias("at"), "key", "digest").join(found, ["key", "digest"])
-    return spots.groupBy("node").agg(F.collect_list(F.struct("at", "low", "high")).alias("hits")).join(cut.select("node", "rep"), "node")
+    spots = shared.groupBy("node", F.col("start").alias("at"), "key", "digest").agg(_first())
+    return spots.join(found, ["key", "digest"]).groupBy("node").agg(F.min("rep")["doc_id"].alias("rep"), F.collect_list(F.struct("at", "low", "high")).alias("hits"))
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame, text: str, key: str, least: int) -> DataFrame:
@@ -446,10 +447,10 @@ def _split(hot: DataFrame, length: int, reach: int) -> DataFrame:
 
 
 def marked_passages(cut: DataFrame) -> DataFrame:
-    """(node, n_passages): how many marked windows of a text stand in another row's text too."""
-    marks = cut.select("node", "copies", F.explode("marks").alias("mark"))
-    again = materialize(marks.groupBy("mark").agg(F.sum("copies").alias("times")).where("times > 1").select("mark"))
-    return marks.join(again, "mark").groupBy("node").agg(F.count(F.lit(1)).alias("n_passages"))
+    """(node, shares_passage = 1): the texts of which a marked window stands in another row too."""
+    marks = cut.select("node", F.explode("marks").alias("mark"))
+    again = materialize(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("mark"))
+    return marks.join(again, "mark").select("node").distinct().withColumn("shares_passage", F.lit(1))
 
 
 def _covered(hits: list[dict], length: int) -> list[tuple[int, int]]:
@@ -502,14 +503,14 @@ def _by_text(docs: DataFrame, cut: DataFrame, text: str, key: str, length: int,
 
 
 def dedup_report(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages), one for every row of docs.
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, shares_passage), one for every row of docs.
 
     Texts are UTF-8 bytes; null counts as empty. Every byte covered by `length` bytes that start anywhere else too,
     in this text or another row, is removed; matches never cross rows. Repeated rows are copies of each other,
-    so all their bytes go once they have `length`. n_passages tells how many marked windows of MARK bytes stand in
-    another row too; a passage of MARK + MARK_STEP - 1 bytes that another row has holds one at least, so it shows
-    shared passages that are too short to be removed. Very long texts are cut in segments, ties cannot arise, null
-    keys, extra columns of any name and empty tables are fine.
+    so all their bytes go once they have `length`. shares_passage is 1 if a marked window of MARK bytes stands in
+    another row too, else 0: a passage of MARK + MARK_STEP - 1 bytes that rows share has one at least, so it tells
+    of shared passages that are too short to be removed. Very long texts are cut in segments, ties cannot arise;
+    null keys, extra columns of any name and empty tables are fine.
     """
     spark = docs.sparkSession
     with scratch(spark):
@@ -520,7 +521,7 @@ def dedup_report(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     rows = docs.select(F.col(key).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("node"), F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t, 256).alias("whole"))
     rows = rows.join(found, "node", "left")
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return rows.select("doc_id", "n_bytes", number("n_removed"), number("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), number("n_passages"))
+    return rows.select("doc_id", "n_bytes", number("n_removed"), number("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), number("shares_passage"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, least_words: int = 0) -> DataFrame:
