@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import free_name, materialize
+from tickloom.llm.common import free_name, lasting, materialize, scratch
 from tickloom.llm.components import components
 from tickloom.llm.shingles import Shingler, jaccard, mix, pack, unpack
 
@@ -163,7 +163,7 @@ def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     labels = components(links)
     own = labels.toDF("node", "label")
     labelled = buckets.join(own, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    most = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("label"))
+    most = materialize(labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("label")))
     rest = materialize(labelled.join(most, ["band", "label"], "left_anti").select("band", "node"))
     near = buckets.join(rest.select("band").distinct(), "band", "left_semi").select("node").distinct()
     near = near.join(rest.select("node").distinct().withColumn("probe", F.lit(True)), "node", "left").na.fill(False, ["probe"])
@@ -189,7 +189,7 @@ def _rare_pairs(sets: DataFrame) -> DataFrame:
     """
     rows = sets.select("node", "probe", "label", "shingles").mapInArrow(_unpacked, "node binary, probe boolean, label binary, shingles array<bigint>")
     each = materialize(rows.select("node", "probe", "label", F.explode("shingles").alias("shingle")))
-    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    often = materialize(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")))
     ordered = each.join(often, "shingle").groupBy("node", "probe", "label").agg(F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("s"))
     n = F.size("s")
     first = ordered.select("node", "probe", "label", n.alias("n"), F.posexplode(F.slice("s", F.lit(1), (n - F.ceil(n * THRESHOLD - 1e-9) + 1).cast("int"))).alias("at", "x"))
@@ -206,14 +206,20 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     """(doc_id, node, class_id, rows, kept): one row for every key and text of docs that has words.
 
     node is a digest of the text, class_id the smallest key of the class, rows how many equal rows there are,
-    kept marks the one row of a class to keep (the smallest key, then node; null keys last).
+    kept marks the one row of a class to keep (the smallest key, then node; null keys last). What joins read is
+    written before, so that a band or class with very many rows can be split when it is joined.
     """
+    with scratch(docs.sparkSession):
+        return lasting(_classes(docs, text, key))
+
+
+def _classes(docs: DataFrame, text: str, key: str) -> DataFrame:
     slim = docs.select(F.col(key).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("node"), F.col(text).alias("text")).where("text is not null")
     sketched = materialize(slim.mapInArrow(_sketch, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, node binary, bands array<bigint>").where("size(bands) > 0"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"]
     nodes = materialize(sketched.groupBy("node").agg(first.alias("rep"), F.min("bands").alias("bands")))
     buckets = nodes.select("node", F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band")
+    shared = materialize(buckets.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band"))
     buckets = materialize(buckets.join(shared, "band"))
     wanted = buckets.select("node").distinct().join(nodes.select("node", "rep"), "node").withColumnRenamed("node", "n")
     texts = slim.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text").dropDuplicates(["node"])
@@ -223,9 +229,9 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     members = members.join(labels, "node", "left").select("doc_id", "node", "rows", F.coalesce("label", "node").alias("label"))
     members = materialize(members)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("node").alias("n")))
-    heads = members.groupBy("label").agg(best.alias("head"))
+    heads = materialize(members.groupBy("label").agg(best.alias("head")))
     is_head = F.col("doc_id").eqNullSafe(F.col("head.id")) & (F.col("node") == F.col("head.n"))
-    return materialize(members.join(heads, "label").select("doc_id", "node", F.col("head.id").alias("class_id"), "rows", is_head.alias("kept")))
+    return members.join(heads, "label").select("doc_id", "node", F.col("head.id").alias("class_id"), "rows", is_head.alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -66,15 +66,12 @@ class Shingler:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Sorted hashes as five bytes each."""
-    low = distinct(values & np.uint64(0xFFFFFFFFFF)).astype("<u8")
-    return np.ascontiguousarray(low.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+    """Sorted distinct hashes, whole."""
+    return values.astype("<u8").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, "<u8")
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
