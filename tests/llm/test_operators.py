@@ -68,6 +68,40 @@ def test_forward_sums_all_segmentations():
 
     words = ["a", "ab", "aba", "abab"]
     assert np.allclose(np.exp(scorer.forward(words))[:, 0], [total("▁" + w) for w in words])
+    words = ["ab", "abc", "ab" * 8, "cba", "ab" * 17]  # c stands in no piece
+    assert np.allclose(scorer.forward(words), [scorer.forward_long(w) for w in words])
+    # a long run of letters is one word: no split, no underflow
+    step = scorer.forward_long("ab" * 201)[0] - scorer.forward_long("ab" * 200)[0]
+    long = scorer.forward_long("ab" * 4000)[0]
+    assert np.isfinite(long) and abs(long - scorer.forward_long("ab" * 200)[0] - 3800 * step) < 1e-6 * abs(long)
+
+
+def test_language_id_equals_brute_force():
+    """predict against sums over every segmentation, written out."""
+    pieces = ["▁", "a", "b", "c", "ab", "▁a", "bc", "▁abc", "ca"]
+    r = np.random.default_rng(9)
+    p = r.random((len(pieces), 3))
+    p /= p.sum(0)
+    scorer = language_id.Scorer.__new__(language_id.Scorer)
+    scorer.model, scorer.lattice, scorer.index, scorer.table = language_id.Model(["x", "y", "z"], "", p), language_id.Lattice(pieces), {}, np.zeros((0, 3))
+
+    def total(w):
+        if not w:
+            return np.ones(3)
+        ways = [language_id.FLOOR * total(w[1:])] + [p[i] * total(w[len(s) :]) for i, s in enumerate(pieces) if w.startswith(s)]
+        return np.sum(ways, axis=0)
+
+    q = random.Random(4)
+    texts = [" ".join("".join(q.choice("abcé") for _ in range(q.randint(1, 7))) for _ in range(q.randint(1, 5))) for _ in range(40)]
+    names, scores, means = scorer.predict(texts)
+    for t, name, score, mean in zip(texts, names, scores, means):
+        logs = sum(np.log(total("▁" + w)) for w in t.split())
+        odds = np.exp(logs - logs.max())
+        assert name == "xyz"[int(logs.argmax())] and abs(score - odds.max() / odds.sum()) < 1e-9 and abs(mean - logs.max() / len(t.replace(" ", ""))) < 1e-9
+
+
+def test_numerals_are_no_letters():
+    assert language_id.words_of("½ ² ① Ⅷ 3 _") == [] and language_id.words_of("a½b Ñandú x²") == ["a", "b", "ñandú", "x"]
 
 
 def test_language_id(spark, odd, none):
@@ -76,6 +110,8 @@ def test_language_id(spark, odd, none):
     got = {r.doc_id: r for r in language_id.identify(docs, queries.PIECE_VOCAB).collect()}
     assert all(got[i].lang_pred == want for i, _, want in rows) and any(r.held_out for r in got.values())
     assert (got[100].lang_pred, got[100].score, got[101].lang_pred) == ("und", 0.0, "und") and not got[None].held_out
+    foreign = docs.union(spark.createDataFrame([(200, "אבגד הוזח טיכל", None), (201, "½ ②", None)], docs.schema))
+    assert {r.doc_id for r in foreign.collect()} - {r.doc_id for r in language_id.keep_identified(foreign, queries.PIECE_VOCAB).collect()} == {100, 101, 200, 201}
     assert language_id.keep_identified(docs, queries.PIECE_VOCAB).columns == docs.columns
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in language_id.keep_identified(docs, queries.PIECE_VOCAB).collect()} == {100, 101}
     assert language_id.identify(odd, queries.PIECE_VOCAB).count() == odd.count()
@@ -400,3 +436,22 @@ def test_tool_calls(spark):
     assert by[2, "call"].errors == ["$.y: unknown"] and by[0, "call"].valid and by[5, "call"].cyclic and by[6, "call"].errors == ["$: not JSON"]
     assert by[2, "call"].message == '{"role":"assistant","tool_call":{"arguments":{"x":1,"y":2},"id":"a","name":"add"}}'
     assert tool_calls.format_chats(frame.limit(0), schemas).count() == 0
+
+
+def test_odd_tool_calls(spark):
+    """Lone surrogates, deep nesting, numbers that JSON lacks, ties, long texts and columns of clashing names."""
+    schemas = {"f": {"type": "object"}, "g": {"type": "string", "minLength": 2}}
+    long = prose(20_000, 5)
+    m = [
+        ("c", 0, "call", "a", "f", "s", '{"k\\ud800":"\\ud800"}', None, []), ("c", 1, "call", "a", "f", "d", "[" * 5000 + "]" * 5000, None, []), ("c", 2, "call", "a", "f", "m", "[" * 99 + "]" * 99, None, []),
+        ("c", 3, "call", "a", "f", "n", '{"x":NaN}', None, []), ("c", 4, "call", "a", "g", "l", '"' + long + '"', None, []), ("c", 5, "result", "t", None, "l", None, long, []),
+        ("c", 6, "call", "a", "f", "t", "{}", None, ["l"]), ("c", 6, "call", "a", "f", "t", "{}", None, ["d"]), ("c", 7, "call", "a", "f", "t", "{}", None, []),
+    ]
+    schema = "conv string, pos long, kind string, role string, name string, call_id string, arguments string, content string, depends_on array<string>"
+    frame = spark.createDataFrame(m, schema).selectExpr("*", "1 as c", "2 as i", "'x' as linked", "'x' as anchor", "3 as level", "'x' as w")
+    rows = tool_calls.format_chats(frame, schemas).collect()
+    assert len(rows) == len(m)
+    by = {r.call_id: r for r in rows if r.kind == "call"}
+    assert by["s"].message == '{"role":"a","tool_call":{"arguments":{"k\\ud800":"\\ud800"},"id":"s","name":"f"}}' and by["s"].valid
+    assert by["d"].errors == ["$: nested too deep"] and by["m"].errors == ["$: not object"] and by["n"].errors == ["$: not JSON"] and by["l"].valid and long in by["l"].message
+    assert {(r.anchor, r.level) for r in rows if r.call_id == "t"} == {(6, 2), (7, 2)}  # the smaller dependencies: d

@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 WORD_START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Letters of a word that one forward pass takes; longer runs of letters are scored in successive parts of
-#: this length, which keeps probabilities within double precision.
-PART = 24
+#: Letters of the words that are scored many at a time, in plain probabilities; longer ones are scored one by one, in
+#: logarithms, so that nothing underflows.
+SHORT = 36
 #: Probability of a character that no piece covers.
 FLOOR = 1e-7
+#: Texts whose letters are less likely than this on average (natural logarithm) in every language are rejected:
+#: about half of their letters stand in no piece that a language uses.
+LEAST_PER_LETTER = -7.0
 #: Added to each piece's count in each language.
 SMOOTHING = 0.1
 #: Rows that each language has in the training sample, if it has so many; values of the hash that draws them.
@@ -34,15 +37,16 @@ LEAST, HASHES = 30, 1 << 53
 CACHE_CELLS = 1_600_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-SCHEMA = "lang_pred string, score double"
+SCHEMA = "lang_pred string, score double, per_letter double"
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case; runs longer than PART come in parts."""
+    """Runs of letters (Unicode category L) in lower case."""
     found = LETTERS.findall(text.lower())
-    if len(text) > PART and any(len(w) > PART for w in found):
-        found = [w[i : i + PART] for w in found for i in range(0, len(w), PART)]
-    return found
+    if "".join(found).isalpha():
+        return found
+    # numerals such as fractions count as word characters, but are no letters
+    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
 
 
 def load_pieces(path: str) -> list[str]:
@@ -68,7 +72,7 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         by_length: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
-            if p and len(p) <= PART + 1:
+            if p:
                 by_length.setdefault(len(p), []).append(i)
         self.size = len(pieces)
         self.tables = {}
@@ -77,6 +81,17 @@ class Lattice:
             order = np.argsort(h)
             self.tables[n] = h[order], np.array(ids)[order]
 
+    def spans(self, points: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """(start, piece id) of the pieces in one string, by their end."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        for n, (known, ids) in self.tables.items():
+            if n <= len(points):
+                h = hashes(np.lib.stride_tricks.sliding_window_view(points, n))
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                for start in np.flatnonzero(known[at] == h).tolist():
+                    found.setdefault(start + n, []).append((start, int(ids[at[start]])))
+        return found
+
     def edges(self, points: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(end, piece length, rows, piece ids), by increasing end; a pair of row and span comes once."""
         for end in range(1, points.shape[1] + 1):
@@ -123,35 +138,51 @@ class Scorer:
             self._floor(alpha, e)
         return np.log(alpha[lengths, np.arange(len(words))])
 
+    def forward_long(self, word: str) -> np.ndarray:
+        """forward of one word of any length."""
+        points = np.frombuffer((WORD_START + word).encode("utf-32-le"), np.uint32)
+        ends = self.lattice.spans(points)
+        alpha = np.zeros((len(points) + 1, len(self.model.languages)))
+        for end in range(1, len(points) + 1):
+            ways = [alpha[end - 1] + np.log(FLOOR), *(alpha[start] + np.log(self.model.probabilities[i]) for start, i in ends.get(end, ()))]
+            alpha[end] = np.logaddexp.reduce(ways)
+        return alpha[-1]
+
     @staticmethod
     def _floor(alpha: np.ndarray, end: int) -> None:
         alpha[end] += alpha[end - 1] * FLOOR
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """For each text the language, its posterior under equal priors, and the mean log probability of a letter."""
         langs = self.model.languages
         if not langs:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         pieces = [words_of(t) if t else [] for t in texts]
         if len(self.index) * len(langs) > CACHE_CELLS:
             self.index, self.table = {}, self.table[:0]
-        fresh = sorted(set().union(*pieces) - self.index.keys()) if pieces else []
+        short = [[w for w in p if len(w) <= SHORT] for p in pieces]
+        fresh = sorted(set().union(*short) - self.index.keys()) if short else []
         parts = [self.table]
         for i in range(0, len(fresh), 20_000):
             parts.append(self.forward(fresh[i : i + 20_000]))
         self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
         self.table = np.concatenate(parts)
-        names, scores = [], []
-        for p in pieces:
+        names, scores, means = [], [], []
+        for p, q in zip(pieces, short):
             if not p:
                 names.append(UNDETERMINED)
                 scores.append(0.0)
+                means.append(0.0)
                 continue
-            total = self.table[np.fromiter(map(self.index.__getitem__, p), np.int64, len(p))].sum(0)
+            total = self.table[np.fromiter(map(self.index.__getitem__, q), np.int64, len(q))].sum(0)
+            if len(q) < len(p):
+                total = total + sum(self.forward_long(w) * n for w, n in sorted(Counter(w for w in p if len(w) > SHORT).items()))
             odds = np.exp(total - total.max())
             best = int(total.argmax())
             names.append(langs[best])
             scores.append(float(odds[best] / odds.sum()))
-        return names, scores
+            means.append(float(total[best]) / sum(map(len, p)))
+        return names, scores, means
 
 
 def most_of_each(sizes: list[int], max_docs: int) -> float:
@@ -207,18 +238,19 @@ def fit(labelled: DataFrame, vocab_path: str, text: str, lang: str, key: str, ma
 
 
 def predicted(text: Column | str, model: Model) -> Column:
-    """Struct column (lang_pred, score) of a text column."""
+    """Struct column (lang_pred, score, per_letter) of a text column."""
 
     @F.pandas_udf(SCHEMA)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
         for texts in batches:
-            names, scores = [], []
+            names, scores, means = [], [], []
             for i in range(0, len(texts), 200):
-                a, b = scorer.predict([None if t is None else str(t) for t in texts.iloc[i : i + 200]])
+                a, b, c = scorer.predict([None if t is None else str(t) for t in texts.iloc[i : i + 200]])
                 names += a
                 scores += b
-            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": pd.Series(scores, dtype=float)})
+                means += c
+            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": pd.Series(scores, dtype=float), "per_letter": pd.Series(means, dtype=float)})
 
     return predict(text)
 
@@ -246,9 +278,11 @@ def identify(docs: DataFrame, vocab_path: str, text: str = "text", lang: str = "
 
 
 def keep_identified(docs: DataFrame, vocab_path: str, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = 20_000, least: float = 0.5) -> DataFrame:
-    """docs, with all their columns, without rows that are `und` or whose best language scores below least."""
+    """docs, with all their columns, without rows that are `und`, whose best language scores below least, or whose
+    letters are less likely than LEAST_PER_LETTER on average even in it, such as texts in a script not learned."""
     from tickloom.llm.common import free_name
 
     model = train_split(docs, vocab_path, text, lang, key, max_docs)
     own = free_name(docs, "identified")
-    return docs.withColumn(own, predicted(F.col(text), model)).where((F.col(own)["lang_pred"] != UNDETERMINED) & (F.col(own)["score"] >= least)).drop(own)
+    sure = (F.col(own)["lang_pred"] != UNDETERMINED) & (F.col(own)["score"] >= least) & (F.col(own)["per_letter"] >= LEAST_PER_LETTER)
+    return docs.withColumn(own, predicted(F.col(text), model)).where(sure).drop(own)
