@@ -35,12 +35,12 @@ LENGTH = 400
 GRAM = 19
 #: Distances to the core that the smaller pieces of keys with very many pieces cover.
 SMALL_REACH = 16
-#: Positions handled at a time, and so the memory for one text.
-SEGMENT = 1 << 17
+#: Bytes of texts, or positions of a longer one, that are cut at a time: what a processor's cache holds.
+SEGMENT = 1 << 15
 #: Different pieces of one key that a block takes together.
 KEY_REGIONS = 500
 #: Bytes of pieces that make a block.
-BLOCK = 250_000
+BLOCK = 400_000
 #: Length of the marked windows, and how many successive windows hold one that is marked (the one with the smallest
 #: hash of its first gram): a passage of both together less one is marked alike in every text that has it.
 MARK, MARK_STEP = 200, 63
@@ -61,7 +61,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Rolling:
     """Hashes of any ranges of a byte array, from prefix sums modulo 2**64."""
 
-    SIZE = 2 * SEGMENT
+    SIZE = 1 << 18
     POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __init__(self, data: np.ndarray, which: int):
@@ -106,31 +106,69 @@ def cores(grams: np.ndarray, length: int) -> np.ndarray:
     return at + (low.astype(np.int64) - at) % (length - core_of(length) + 1)
 
 
+def cut_together(texts: list[bytes], length: int = LENGTH, marked: bool = False) -> tuple[np.ndarray, ...]:
+    """(text, start, positions, key, digest) of the pieces of texts of at most 2 x SEGMENT bytes together, and
+    (text, hash) of their marked windows; in the order of the texts."""
+    sizes = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    left = ends[owner] - np.arange(len(data))
+    one, two = Rolling(data, 0), Rolling(data, 1)
+    none = np.zeros(0, np.int64)
+    pieces, marks = (none, none, none, none.astype(np.uint64), none.astype(np.uint64)), (none, none.astype(np.uint64))
+    if len(data) < min(length, MARK):
+        return *pieces, *marks
+    grams = one.windows(GRAM)
+    if marked and len(data) >= MARK + MARK_STEP - 1:
+        n = len(data) - MARK + 1
+        chosen = sliding_min((grams[:n] & ~INDEX) | np.arange(n, dtype=np.uint64), MARK_STEP)
+        at = np.flatnonzero(left[: len(chosen)] >= MARK + MARK_STEP - 1)
+        chosen, whose = (chosen[at] & INDEX).astype(np.int64), owner[at]
+        new = np.append(True, chosen[1:] != chosen[:-1])[: len(at)]
+        whose, chosen = whose[new], one.ranges(chosen[new], chosen[new] + MARK)
+        order = np.lexsort((chosen, whose))
+        whose, chosen = whose[order], chosen[order]
+        once = np.append(True, (whose[1:] != whose[:-1]) | (chosen[1:] != chosen[:-1]))[: len(whose)]
+        marks = whose[once], chosen[once]
+    if len(data) >= length:
+        core = cores(grams, length)
+        at = np.flatnonzero(left[: len(core)] >= length)
+        core, whose = core[at], owner[at]
+        new = np.append(True, (core[1:] != core[:-1]) | (whose[1:] != whose[:-1]))[: len(at)]
+        core, first = core[new], at[new]
+        count = np.diff(np.append(np.flatnonzero(new), len(at)))
+        whose = whose[new]
+        pieces = whose, first - (ends - sizes)[whose], count, one.ranges(core, core + core_of(length)), two.ranges(first, first + count - 1 + length)
+    return *pieces, *marks
+
+
 def cut_text(data: bytes, length: int = LENGTH, marked: bool = False) -> tuple[np.ndarray, ...]:
-    """(start, positions, key, digest) of the pieces of one text, and the hashes of its marked windows."""
-    found, marks = [], [np.zeros(0, np.uint64)]
-    size = core_of(length)
-    for at in range(0, len(data) - min(length, MARK if marked else length) + 1, SEGMENT):
-        part = np.frombuffer(data, np.uint8, min(SEGMENT + max(length, MARK + MARK_STEP) - 1, len(data) - at), at)
-        one = Rolling(part, 0)
-        grams = one.windows(GRAM)
-        if marked and (n := len(part) - MARK + 1) > 0:
-            chosen = sliding_min((grams[:n] & ~INDEX) | np.arange(n, dtype=np.uint64), min(MARK_STEP, n))
-            chosen = (chosen[np.append(True, chosen[1:] != chosen[:-1])] & INDEX).astype(np.int64)
-            marks.append(one.ranges(chosen, chosen + MARK))
-        part = part[: SEGMENT + length - 1]
-        if len(part) < length:
-            continue
-        two = Rolling(part, 1)
-        core = cores(grams[: len(part) - GRAM + 1], length)
-        first = np.flatnonzero(np.append(True, core[1:] != core[:-1]))
-        count = np.diff(np.append(first, len(core)))
-        key = one.ranges(core[first], core[first] + size)
-        found.append((first + at, count, key, two.ranges(first, first + count - 1 + length)))
-    if not found:
-        none = np.zeros(0, np.int64)
-        found = [(none, none, none.astype(np.uint64), none.astype(np.uint64))]
-    return *(np.concatenate(x) for x in zip(*found)), np.unique(np.concatenate(marks))
+    """(start, positions, key, digest) of the pieces of one text of any length, and the hashes of its marked windows."""
+    found = [cut_together([data[at : at + SEGMENT + max(length, MARK + MARK_STEP - 1) - 1]], length, marked) for at in range(0, max(1, len(data) - min(length, MARK) + 1), SEGMENT)]
+    out = [[], [], [], [], []]
+    for nth, (_, start, count, key, digest, _, mark) in enumerate(found):
+        own = start < SEGMENT
+        for o, x in zip(out, (start[own] + nth * SEGMENT, np.minimum(count[own], SEGMENT - start[own]), key[own], digest[own], mark)):
+            o.append(x)
+    return *map(np.concatenate, out[:4]), np.unique(np.concatenate(out[4]))
+
+
+def cut_all(texts: list[bytes], length: int, marked: bool) -> Iterator[tuple[int, tuple[list[int], ...], tuple[np.ndarray, ...]]]:
+    """(number of texts, pieces and marks of each, their values) of successive texts."""
+    at = 0
+    while at < len(texts):
+        upto, size = at, 0
+        while upto < len(texts) and (size == 0 or size + len(texts[upto]) <= SEGMENT):
+            size += len(texts[upto])
+            upto += 1
+        if size > SEGMENT:
+            *pieces, mark = cut_text(texts[at], length, marked)
+            yield 1, ([len(pieces[0])], [len(mark)]), (*pieces, mark)
+        else:
+            whose, *pieces, marked_in, mark = cut_together(texts[at:upto], length, marked)
+            yield upto - at, tuple(np.bincount(x, minlength=upto - at).tolist() for x in (whose, marked_in)), (*pieces, mark)
+        at = upto
 
 
 class Suffixes:
@@ -207,72 +245,92 @@ class Suffixes:
         before = self.order - 1
         symbol = np.where(before >= 0, self.text[before], self.END).astype(np.int64)
         target = self.place[before].astype(np.int32)
+        runs = np.append(np.flatnonzero(symbol[1:] != symbol[:-1]) + 1, n)
+        same_until = np.repeat(runs, np.diff(np.append(0, runs)))
         lo = np.flatnonzero(self.bounds)
         hi = np.append(lo[1:], n)
-        single = lo[hi - lo == 1]
-        lo, hi = lo[hi - lo > 1], hi[hi - lo > 1]
         for _ in range(self.seed, self.length):
-            # an interval of one suffix stays one, and its right boundary is known at once
-            to = target[single[symbol[single] != self.END]]
-            alone = to[~claimed[to + 1]]
-            size = hi - lo
-            owner = np.repeat(np.arange(len(lo)), size)
-            rows = np.arange(len(owner)) + np.repeat(lo - (np.cumsum(size) - size), size)
-            s = symbol[rows]
-            use = s != self.END
-            to, owner, s = target[rows[use]], owner[use], s[use]
-            sort = np.argsort(to)
-            to, owner, s = to[sort], owner[sort], s[sort]
-            first = np.append(True, (owner[1:] != owner[:-1]) | (s[1:] != s[:-1]))[: len(to)]
-            start = to[first]
-            end = to[np.append(first[1:], True)[: len(to)]] + 1
+            # an interval with one byte before all its suffixes has one child, whose ends are known at once
+            whole = same_until[lo] >= hi
+            start, last = target[lo[whole]], target[hi[whole] - 1]
+            whole[whole] = last - start == hi[whole] - lo[whole] - 1
+            use = whole & (symbol[lo] != self.END)
+            start = target[lo[use]]
+            end = start + (hi[use] - lo[use])
+            lo, hi = lo[~whole], hi[~whole]
+            if len(lo):
+                size = hi - lo
+                owner = np.repeat(np.arange(len(lo)), size)
+                rows = np.arange(len(owner)) + np.repeat(lo - (np.cumsum(size) - size), size)
+                s = symbol[rows]
+                inside = s != self.END
+                to, owner, s = target[rows[inside]], owner[inside], s[inside]
+                sort = np.argsort(to)
+                to, owner, s = to[sort], owner[sort], s[sort]
+                first = np.append(True, (owner[1:] != owner[:-1]) | (s[1:] != s[:-1]))[: len(to)]
+                start = np.concatenate([start, to[first]])
+                end = np.concatenate([end, to[np.append(first[1:], True)[: len(to)]] + 1])
             free = ~claimed[end]
-            claimed[end[free]] = True
-            claimed[alone + 1] = True
             lo, hi = start[free], end[free]
-            few = hi - lo == 1
-            single = np.concatenate([alone, lo[few]])
-            lo, hi = lo[~few], hi[~few]
-            if not len(single) and not len(lo):
+            claimed[hi] = True
+            if not len(lo):
                 break
         return claimed[:n]
 
 
-def repeated(strings: list[bytes], weights: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each string the offsets at which `length` bytes start that start elsewhere too, or in a copy of it."""
+def repeated(strings: list[bytes], weights: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first, last) of the runs of offsets at which `length` bytes start that start elsewhere too, or in a
+    copy of the string."""
     if not strings:
-        return []
+        return (np.zeros(0, np.int64),) * 3
     suffixes = Suffixes(strings, length)
     group = np.cumsum(suffixes.expand()) - 1
     whole = suffixes.left[suffixes.order] >= length
-    which = suffixes.which[suffixes.order]
-    times = np.bincount(group, np.where(whole, weights[which], 0))
+    times = np.bincount(group, np.where(whole, weights[suffixes.which[suffixes.order]], 0))
     hit = suffixes.order[whole & (times[group] >= 2)]
     hit.sort()
-    owner = suffixes.which[hit]
-    cuts = np.searchsorted(owner, np.arange(len(strings) + 1))
-    return [hit[cuts[i] : cuts[i + 1]] - suffixes.starts[i] for i in range(len(strings))]
-
-
-def intervals(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last of the runs of successive numbers."""
-    if not len(offsets):
-        return offsets, offsets
-    gap = np.flatnonzero(np.diff(offsets) > 1)
-    return offsets[np.r_[0, gap + 1]], offsets[np.r_[gap, len(offsets) - 1]]
-
-
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    offsets = np.r_[0, np.cumsum([len(v) for v in values])].astype(np.int32)
+    new = np.flatnonzero(np.append(True, np.diff(hit) > 1))[: len(hit)]  # an end lies between strings
+    first, last = hit[new], hit[np.append(new[1:], len(hit))[: len(new)] - 1]
+    which = suffixes.which[first]
+    return which, first - suffixes.starts[which], last - suffixes.starts[which]
+
+
+#: More than a text has bytes: parts the positions of successive rows.
+APART = 1 << 40
+
+
+def merged(hits: pa.ListArray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last) of the runs of each row's hits (at, and low and high relative to it), in order; runs of which
+    the second starts at most `reach` after the first ends are one."""
+    each = hits.flatten()
+    low, high = each.field("low"), each.field("high")
+    size = low.value_lengths().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(hits)), hits.value_lengths().to_numpy(zero_copy_only=False))
+    base = np.repeat(row * APART + each.field("at").to_numpy(zero_copy_only=False), size)
+    low, high = base + low.flatten().to_numpy(zero_copy_only=False), base + high.flatten().to_numpy(zero_copy_only=False)
+    order = np.argsort(low)
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.append(True, low[1:] > high[:-1] + reach)[: len(low)]
+    at = np.flatnonzero(new)
+    first, last = low[at], high[np.append(at[1:], len(low))[: len(at)] - 1]
+    return first // APART, first % APART, last % APART
+
+
+def _lists(values: list[np.ndarray], kind: pa.DataType, sizes: list[int] | None = None) -> pa.ListArray:
+    """A list of each of values, or of as many of all of them as sizes tell."""
+    offsets = np.append(0, np.cumsum([len(v) for v in values] if sizes is None else sizes)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*values, np.zeros(0, np.int64)]), kind))
 
 
 def _cut(length: int, marked: bool) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [cut_text(t.encode(), length, marked) for t in batch.column("text").to_pylist()]
-            lists = [_lists([r[i].view(np.int64) for r in rows], pa.int64()) for i in range(5)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), *lists], names=["doc_id", "node", "start", "positions", "key", "digest", "marks"])
+            at = 0
+            for n, (pieces, marks), values in cut_all([t.encode() for t in batch.column("text").to_pylist()], length, marked):
+                part = batch.slice(at, n)
+                at += n
+                lists = [_lists([v.view(np.int64)], pa.int64(), marks if i == 4 else pieces) for i, v in enumerate(values)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), *lists], names=["doc_id", "node", "start", "positions", "key", "digest", "marks"])
 
     return cut
 
@@ -301,10 +359,11 @@ def _expand(length: int) -> Callable:
     only come in blocks of their own: their suffixes part early, and the expansion ends at once."""
 
     def done(held: list[tuple]) -> pa.RecordBatch:
-        found = repeated([h[3] for h in held], np.array([h[2] for h in held]), length)
-        runs = [(h, *intervals(f)) for h, f in zip(held, found) if len(f)]
-        columns = [pa.array([r[0][0] for r in runs], pa.int64()), pa.array([r[0][1] for r in runs], pa.int64()), _lists([r[1] for r in runs], pa.int64()), _lists([r[2] for r in runs], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "digest", "low", "high"])
+        which, low, high = repeated([h[3] for h in held], np.array([h[2] for h in held]), length)
+        sizes = np.bincount(which, minlength=len(held))
+        some = np.flatnonzero(sizes).tolist()
+        lists = [_lists([x], pa.int64(), sizes[some].tolist()) for x in (low, high)]
+        return pa.RecordBatch.from_arrays([*(pa.array([held[i][c] for i in some], pa.int64()) for c in (0, 1)), *lists], names=["key", "digest", "low", "high"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes, bool]] = []
@@ -358,24 +417,11 @@ def _blocks(rows: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(_expand(length), RUNS)
 
 
-def merged(hits: list[dict]) -> tuple[list[int], list[int]]:
-    """First and last of the runs of these positions (at, low and high relative to it); runs that touch are one."""
-    low: list[int] = []
-    high: list[int] = []
-    for a, b in sorted((h["at"] + x, h["at"] + y) for h in hits for x, y in zip(h["low"], h["high"])):
-        if high and a <= high[-1] + 1:
-            high[-1] = max(high[-1], b)
-        else:
-            low.append(a)
-            high.append(b)
-    return low, high
-
-
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [merged(h) for h in batch.column("hits").to_pylist()]
-        runs = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("digest"), pa.array([f[0] for f in found], runs), pa.array([f[1] for f in found], runs)], names=["key", "digest", "low", "high"])
+        row, low, high = merged(batch.column("hits"), 1)
+        sizes = np.bincount(row, minlength=batch.num_rows).tolist()
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("digest"), *(_lists([x], pa.int64(), sizes) for x in (low, high))], names=["key", "digest", "low", "high"])
 
 
 def _slim(docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
@@ -453,15 +499,13 @@ def marked_passages(cut: DataFrame) -> DataFrame:
     return marks.join(again, "mark").select("node").distinct().withColumn("shares_passage", F.lit(1))
 
 
-def _covered(hits: list[dict], length: int) -> list[tuple[int, int]]:
-    """Maximal byte spans covered by windows that start at these positions."""
-    spans: list[list[int]] = []
-    for a, b in zip(*merged(hits)):
-        if spans and a <= spans[-1][1]:
-            spans[-1][1] = b + length
-        else:
-            spans.append([a, b + length])
-    return [(a, b) for a, b in spans]
+def _covered(batch: pa.RecordBatch, length: int) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
+    """Each row's text and its maximal byte spans covered by windows that start at the hits."""
+    row, first, last = merged(batch.column("hits"), length)
+    cuts = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+    spans = list(zip(first.tolist(), (last + length).tolist()))
+    for i, text in enumerate(batch.column("text").to_pylist()):
+        yield text.encode(), spans[cuts[i] : cuts[i + 1]]
 
 
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -475,10 +519,9 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _report(length: int) -> Callable:
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [_covered(r, length) for r in batch.column("hits").to_pylist()]
-            digests = [hashlib.sha256(_kept(t.encode(), s)).hexdigest() for t, s in zip(batch.column("text").to_pylist(), spans)]
-            columns = [batch.column("node"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n_removed", "n_spans", "kept_sha256"])
+            rows = [(sum(b - a for a, b in spans), len(spans), hashlib.sha256(_kept(data, spans)).hexdigest()) for data, spans in _covered(batch, length)]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=["node", "n_removed", "n_spans", "kept_sha256"])
 
     return report
 
@@ -486,11 +529,7 @@ def _report(length: int) -> Callable:
 def _trim(length: int, least_words: int) -> Callable:
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
-                data = text.encode()
-                spans = [(a, b) for a, b in _covered(hits, length) if len(data[a:b].split()) >= least_words]
-                kept.append(_kept(data, spans).decode("utf-8", "ignore"))
+            kept = [_kept(data, [(a, b) for a, b in spans if len(data[a:b].split()) >= least_words]).decode("utf-8", "ignore") for data, spans in _covered(batch, length)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(kept, pa.string())], names=["node", "kept"])
 
     return trim
