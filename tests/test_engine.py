@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import shutil
 
 import zstandard
 from pyspark.sql import Row
@@ -98,7 +99,84 @@ def test_staging_swaps_the_catalog(spark, tmp_path):
     root, out = str(tmp_path / "raw"), str(tmp_path / "catalog")
     lay_out(root)
     report = convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY, staging=True)
-    assert report["status"] == "ok" and os.path.isdir(out) and not os.path.exists(f"{out}.staging")
+    assert report["status"] == "ok" and os.path.isdir(out) and sorted(os.listdir(tmp_path)) == ["catalog", "raw"]
+
+
+def test_nothing_is_left_of_refused_and_empty_runs(spark, tmp_path):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "catalog")
+    put(root, SPOT, "trade_v2", "BTCUSDT", "00.jsonl", [{"record_type": "trade_stream_lifecycle", "ts_recv_ns": 1}])
+    assert convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY, staging=True)["status"] == "empty"
+    assert sorted(os.listdir(tmp_path)) == ["raw"]
+    os.makedirs(tmp_path / "meta" / "universe" / SPOT)
+    (tmp_path / "meta" / "universe" / SPOT / f"{DAY}.json").write_text(json.dumps([f"S{i}" for i in range(60)]))
+    assert convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY)["status"] == "refused_partial_raw_depth"
+    assert sorted(os.listdir(tmp_path)) == ["meta", "raw"]
+
+
+def test_a_second_run_without_trades_leaves_none(spark, tmp_path):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "catalog")
+    lay_out(root)
+    convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY)
+    shutil.rmtree(os.path.join(root, SPOT, "trade_v2"))
+    report = convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY)
+    assert report["totals"]["ticks_written"] == 0
+    assert {r.kind for r in catalog.inspect(spark, out).collect()} == {"deltas", "depth10"}
+
+
+def test_numbers_that_the_catalog_does_not_hold_are_bad(spark, tmp_path):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "catalog")
+    bids = ["Infinity", "1_000", "NaN", "1e30", "abc", "7"]
+    put(root, SPOT, "depth_v2", "BTCUSDT", "00.jsonl", [snapshot(1, 10)] + [update(2 + i, 11, payload={"bids": [["98", "1"], [b, "1"]], "asks": []}) for i, b in enumerate(bids)])
+    report = convert.convert_date(spark, root, str(tmp_path / "meta"), out, DAY)
+    depth = report["depth"][0]
+    assert depth["bad"] == 5 and depth["deltas_written"] == 2 and depth["raw_record_count"] == 7 and depth["will_create_l2"] and depth["fenced_ranges"] == 0
+    rows = catalog.read(spark, out, "deltas").where("action = 'UPDATE'").collect()
+    assert sorted(float(r.price) for r in rows) == [7, 98, 99, 101]
+
+
+def test_exchange_information_of_the_day_and_of_documents(spark, tmp_path):
+    def info(*names, status="TRADING"):
+        return {"symbols": [{"symbol": n, "status": status, "baseAsset": n[:-4], "quoteAsset": "USDT", "filters": []} for n in names]}
+
+    root = str(tmp_path / "raw")
+    put(root, FUTURES, "exchangeinfo", "ALL", "00.jsonl", [info("OLDUSDT")])
+    put(root, FUTURES, "exchangeinfo", "ALL", "01.jsonl", [info(), info("NEWUSDT", "BUSDT"), info("NOUSDT")])
+    put(root, FUTURES, "exchangeinfo", "ALL", "02.jsonl", [info()])
+    os.makedirs(os.path.join(root, FUTURES, "exchangeinfo", "ALL", "2026-05-01"))
+    with open(os.path.join(root, FUTURES, "exchangeinfo", "ALL", "2026-05-01", "00.jsonl"), "w") as f:
+        f.write(json.dumps(info("LATERUSDT", status="BREAK")) + "\n")
+    assert {r.symbol for r in raw.exchange_info(spark, root, FUTURES, DAY).collect()} == {"NEWUSDT", "BUSDT"}
+    assert raw.exchange_info(spark, root, FUTURES, "2026-01-01").count() == 0
+    assert {r.symbol for r in raw.trading_in_files(spark, root, FUTURES).collect()} == {"NEWUSDT", "BUSDT", "NOUSDT"}
+    (tmp_path / "info.json").write_text(json.dumps(info("AUSDT", "CUSDT")))
+    assert {(r.symbol, r.venue) for r in raw.exchange_info_document(spark, str(tmp_path / "info.json"), SPOT).collect()} == {("AUSDT", SPOT), ("CUSDT", SPOT)}
+    (tmp_path / "t.json").write_text(json.dumps([{"symbol": "AUSDT", "quoteVolume": "5.5", "x": 1}, {"quoteVolume": "1"}, {"symbol": "CUSDT", "quoteVolume": "7"}]))
+    tickers = raw.ticker_document(spark, str(tmp_path / "t.json"))
+    assert [(r.symbol, r.ordinal) for r in universe.rank(tickers, 5).orderBy("rank").collect()] == [("CUSDT", 2), ("AUSDT", 0)]
+
+
+def test_discovery_reads_all_channels_but_exchange_information(spark, tmp_path):
+    put(str(tmp_path), SPOT, "other", "AUSDT", "00.jsonl", [{}])
+    put(str(tmp_path), SPOT, "trade_v2", "BUSDT", "00.jsonl", [{}])
+    put(str(tmp_path), SPOT, "exchangeinfo", "ALL", "00.jsonl", [{}])
+    assert {r.symbol for r in raw.discover(spark, str(tmp_path), DAY).collect()} == {"AUSDT", "BUSDT"}
+    expected = spark.createDataFrame([(SPOT, "CUSDT"), (SPOT, "BUSDT")], "venue string, symbol string")
+    assert sorted(r.symbol for r in raw.with_trades(spark, str(tmp_path), DAY, expected).collect()) == ["BUSDT", "CUSDT"]
+
+
+def test_rejects_name_their_stage_and_reason(spark):
+    tickers = spark.createDataFrame([(s, str(90 - i), i) for i, s in enumerate(["1USDT", "AAUSDT", "BBUSDT", "CCUSDT"])], "symbol string, quoteVolume string, ordinal int")
+    one = lambda s: tickers.where(F.col("symbol").isin(*s)).select("symbol")
+    found = universe.select(tickers, 10, one(["1USDT", "BBUSDT", "CCUSDT"]), one(["BBUSDT", "AAUSDT"]), unsupported=universe.FUTURES_UNSUPPORTED).rejects.orderBy("rank").collect()
+    assert [(r.symbol, r.stage) for r in found] == [("1USDT", "sanity"), ("AAUSDT", "support"), ("BBUSDT", "health")]
+    assert [r.reason for r in found[1:]] == ["not found in futures exchangeInfo TRADING symbols", "temporarily_unhealthy_zero_messages"]
+
+
+def test_report_is_saved_whole(spark, tmp_path):
+    for _ in range(2):
+        convert.save_report(spark, {"a": 1}, str(tmp_path / "r.json"))
+    assert json.loads((tmp_path / "r.json").read_text()) == {"a": 1}
+    assert [n for n in os.listdir(tmp_path) if not n.endswith(".crc")] == ["r.json"]
 
 
 def test_universe_documents(spark, tmp_path):
@@ -221,5 +299,5 @@ def test_universe_document_is_used_again_only_under_its_policy(spark, tmp_path):
     assert doc["selection_metadata"][SPOT]["replacement_symbols"] == ["SOLUSDT"]
     assert universe_cache.usable(doc, top=2) and not universe_cache.usable(doc) and not universe_cache.usable([])
     assert not universe_cache.usable(doc | {SPOT: ["BTCUSDT"]}, top=2)
-    universe_cache.save(doc, str(tmp_path), DAY)
+    universe_cache.save(spark, doc, str(tmp_path), DAY)
     assert raw.resolve_universe(spark, str(tmp_path), str(tmp_path), DAY)[SPOT] == doc[SPOT]

@@ -124,9 +124,10 @@ def ts_ranges(rows: DataFrame) -> DataFrame:
     return rows.groupBy("kind").agg(F.min("first_ts").alias("start_ts"), F.max("last_ts").alias("end_ts"))
 
 
-def presence(records: DataFrame, record_type: str = "trade") -> DataFrame:
-    """JOI-08: symbols with a raw record of a type; a missing type counts as trade on every channel (T24)."""
-    return records.where(F.coalesce("record_type", F.lit("trade")) == record_type).select(*KEYS).distinct()
+def presence(records: DataFrame, expected: DataFrame, record_type: str = "trade") -> DataFrame:
+    """JOI-08: expected symbols with a raw record of a type; a missing type counts as trade on every channel (T24)."""
+    found = records.where(F.coalesce("record_type", F.lit("trade")) == record_type).select(*KEYS)
+    return expected.select(*KEYS).join(found, KEYS, "left_semi")
 
 
 def disk_growth(samples: DataFrame, ring: int = 288, budget_gb: float = 480.0) -> DataFrame:
@@ -147,3 +148,18 @@ def oldest_dates(dirs: DataFrame, used_gb: float, target_gb: float, attempts: in
     return dated.withColumn("nth", F.row_number().over(w)).withColumn("before_gb", F.lit(used_gb) - freed).where((F.col("nth") <= attempts) & (F.col("before_gb") > target_gb))
 
 
+
+
+def depth_summary(per_depth: DataFrame, per_fence: DataFrame, gaps: DataFrame, records: DataFrame) -> DataFrame:
+    """AGG-04: one row per symbol of a day's depth: records by type, what was written, fences, gaps, continuity."""
+    keys = ["venue", "symbol"]
+    raw = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("raw_record_count"))
+    names = {
+        "snapshots": "snapshot_seed_count", "updates": "depth_update_record_count", "sync_rows": "sync_state_record_count", "lifecycle_rows": "stream_lifecycle_record_count",
+        "events": "deltas_written", "depth10s": "depth10_written", "fences": "fenced_ranges", "desyncs": "desync_events", "resyncs": "resync_count", "first_ts": "first_depth_ts_ns", "last_ts": "last_depth_ts_ns",
+    }
+    rows = per_depth.select(*keys, *[F.col(c).alias(n) for c, n in names.items()], "bad")
+    rows = rows.withColumn("will_create_l2", F.col("deltas_written") > 0)
+    for more in (raw, per_fence, gaps):
+        rows = rows.join(more, keys, "left")
+    return rows.na.fill(0)

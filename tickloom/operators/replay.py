@@ -9,6 +9,7 @@ session leaves open afterwards, which splits a very active symbol over many task
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
@@ -81,6 +82,29 @@ def follows(futures: bool, boot: bool, last: int | None, first: int | None, fina
     return first <= last + 1 <= final
 
 
+#: What a number looks like, and the first that DECIMAL(38,18) does not hold.
+NUMBER, TOO_LARGE = re.compile(r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"), Decimal(10) ** 20
+
+
+def number(text: str) -> Decimal:
+    """A price or size; ValueError where the catalog's type has no such number."""
+    if not NUMBER.fullmatch(text):
+        raise ValueError(text)
+    value = Decimal(text)
+    if abs(value) >= TOO_LARGE:
+        raise ValueError(text)
+    return value
+
+
+#: A level as read: side, price, size, and both as they came.
+Level = tuple[int, Decimal, Decimal, str, str]
+
+
+def levels_of(r: dict) -> list[Level]:
+    """The levels of a record, bids first; read before anything changes, so that a bad one changes nothing."""
+    return [(side, number(p), number(s), p, s) for side, changes in enumerate((r["bids"], r["asks"])) for p, s in changes or ()]
+
+
 class Book:
     """The state of one symbol and the rows it gives."""
 
@@ -90,6 +114,8 @@ class Book:
         self.session: int | None = None
         self.state, self.last = "unsynced", None
         self.sides: tuple[dict[Decimal, Decimal], dict[Decimal, Decimal]] = ({}, {})
+        #: The last book of the sessions before.
+        self.kept = self.sides
         self.fence: dict | None = None
         self.emitted: int | None = None
         self.first_ts: int | None = None
@@ -111,18 +137,15 @@ class Book:
             self.give("fence", **self.fence | {"end_ts": ts, "recovered": recovered})
             self.fence = None
 
-    def apply(self, levels: Iterable[Iterable[list[str]] | None]) -> None:
-        for side, changes in zip(self.sides, levels):
-            for price, size in changes or ():
-                p, s = Decimal(price), Decimal(size)
-                if s == 0:
-                    side.pop(p, None)
-                else:
-                    side[p] = s
+    def apply(self, levels: list[Level]) -> None:
+        for side, price, size, _, _ in levels:
+            if size == 0:
+                self.sides[side].pop(price, None)
+            else:
+                self.sides[side][price] = size
 
-    def deltas(self, r: dict, sequence: int, snapshot: bool) -> None:
+    def deltas(self, r: dict, levels: list[Level], sequence: int, snapshot: bool) -> None:
         """STF-08/09: one event of all levels of a message; a snapshot starts with a CLEAR."""
-        levels = [("BUY", p, s) for p, s in r["bids"] or ()] + [("SELL", p, s) for p, s in r["asks"] or ()]
         if not levels:
             return
         self.counts["events"] += 1
@@ -132,9 +155,9 @@ class Book:
         same = {"seq": r["seq"], "event": self.counts["events"], "sequence": sequence, "ts_event": r["ts_event"], "ts_init": r["ts_init"]}
         if snapshot:
             self.give("delta", at=0, action="CLEAR", flags=base, **same)
-        for i, (side, price, size) in enumerate(levels):
-            action = "UPDATE" if Decimal(size) > 0 else "DELETE"
-            self.give("delta", at=i + snapshot, action=action, side=side, price=price, size=size, flags=base | (F_LAST if i == len(levels) - 1 else 0), **same)
+        for i, (side, _, value, price, size) in enumerate(levels):
+            action = "UPDATE" if value > 0 else "DELETE"
+            self.give("delta", at=i + snapshot, action=action, side=("BUY", "SELL")[side], price=price, size=size, flags=base | (F_LAST if i == len(levels) - 1 else 0), **same)
 
     def top(self, r: dict) -> None:
         """STF-10: the best ten levels of both sides, padded with zeros; nothing while a side is empty."""
@@ -157,16 +180,19 @@ class Book:
         if r["session"] != self.session:
             if self.session is not None:
                 self.close_fence(ts, False)
+            if self.last is not None:
+                self.kept = self.sides
             self.session, self.state, self.last, self.sides = r["session"], "unsynced", None, ({}, {})
         if kind == "sync_state":
             self.sync(r, ts)
         elif kind == "snapshot_seed":
+            levels = levels_of(r)
             self.sides = ({}, {})
-            self.apply((r["bids"], r["asks"]))
+            self.apply(levels)
             self.last, self.state = r["last_update_id"], "snapshot_seeded"
             self.counts["seeds"] += 1
             self.close_fence(ts, True)
-            self.deltas(r, self.last, True)
+            self.deltas(r, levels, self.last, True)
             if self.depth10:
                 self.top(r)
         elif kind == "depth_update":
@@ -189,21 +215,26 @@ class Book:
             self.counts["desyncs"] += 1
             self.open_fence("continuity_break", ts, r["final_id"])
         else:
-            self.apply((r["bids"], r["asks"]))
+            levels = levels_of(r)
+            self.apply(levels)
             self.last, self.state = r["final_id"], "live_synced"
             self.give("accepted", seq=r["seq"], sequence=self.last, ts_event=ts, ts_init=r["ts_init"])
-            self.deltas(r, self.last, False)
+            self.deltas(r, levels, self.last, False)
             self.close_fence(ts, True)
             if self.depth10 and (self.emitted is None or self.interval <= 0 or ts - self.emitted >= self.interval):
                 self.top(r)
 
     def end(self) -> None:
         self.close_fence(self.last_ts, False)
+        if "book" in self.wanted:
+            for side, levels in zip(("BUY", "SELL"), self.kept if self.last is None else self.sides):
+                for price, size in sorted(levels.items()):
+                    self.give("book", side=side, price=str(price), size=str(size), sequence=self.last, ts_event=self.last_ts)
         self.give("metrics", ts_event=self.first_ts, end_ts=self.last_ts, counts=list(self.counts.items()))
 
 
 def replay(records: DataFrame, kinds: Iterable[str] = ("delta", "depth10", "fence", "metrics"), interval_s: float = 1.0, depth10: bool = True, by_session: bool = False) -> DataFrame:
-    """STF-03: rows of the wanted kinds (accepted, delta, depth10, fence, metrics) in one table.
+    """STF-03: rows of the wanted kinds (accepted, delta, depth10, fence, metrics, book) in one table.
 
     records have the columns IN. A record whose levels or ids cannot be read counts as bad and the fold goes on.
     By session, the ten-level throttle starts anew in each session and metrics come per session.
@@ -272,6 +303,11 @@ def depth10(rows: DataFrame) -> DataFrame:
     )
 
 
+def books(rows: DataFrame) -> DataFrame:
+    """STF-05/06: levels of each symbol's book after the last record that changed it."""
+    return rows.where("kind = 'book'").select(*KEYS, "session", "side", F.col("price").cast(DECIMAL).alias("price"), F.col("size").cast(DECIMAL).alias("size"), "sequence")
+
+
 def fences(rows: DataFrame) -> DataFrame:
     reason = scalars.fence_reason(F.col("reason"))
     return rows.where("kind = 'fence'").select(*KEYS, "session", F.col("ts_event").alias("start_ts"), "end_ts", "reason", "trigger_id", "recovered", reason.alias("norm_reason"), scalars.fence_severity(reason, F.col("recovered")).alias("severity"))
@@ -292,17 +328,6 @@ def continuity(records: DataFrame) -> Column:
     return F.when(F.col("venue") == FUTURES, F.col("pu") == last).otherwise((F.col("first_id") <= last + 1) & (last + 1 <= F.col("final_id")))
 
 
-def final_levels(accepted: DataFrame) -> DataFrame:
-    """STF-05/06: levels left of each symbol's last segment: the last size of each price, unless it is zero.
-
-    accepted has venue, symbol, segment, place (order within the symbol), side, price, size. Only the last segment
-    counts, since a snapshot clears the book. Aggregations only: a book of any size.
-    """
-    last = accepted.groupBy(*KEYS).agg(F.max("segment").alias("segment"))
-    rows = accepted.join(last, [*KEYS, "segment"], "left_semi")
-    return rows.groupBy(*KEYS, "side", "price").agg(F.max_by("size", "place").alias("size")).where("size > 0")
-
-
 def best_levels(levels: DataFrame, n: int = LEVELS) -> DataFrame:
     """TOP-04: the best n levels of both sides, with their rank from 1."""
     best = Window.partitionBy(*KEYS, "side").orderBy(F.when(F.col("side") == "BUY", -F.col("price")).otherwise(F.col("price")))

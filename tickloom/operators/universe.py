@@ -12,6 +12,10 @@ from tickloom.functions import scalars
 # Sizes of the pools and limits of the health feedback.
 TOP, SPOT_POOL, FUTURES_POOL, SAMPLE = 50, 120, 200, 12
 LEAST_OBSERVED_S, ZERO_RUNS, EXCLUDE_DAYS = 300.0, 2, 1
+# Why the stages after sanity reject.
+SPOT_UNSUPPORTED = "not found in spot exchangeInfo TRADING USDT symbols"
+FUTURES_UNSUPPORTED = "not found in futures exchangeInfo TRADING symbols"
+UNHEALTHY = "temporarily_unhealthy_zero_messages"
 
 
 def rank(tickers: DataFrame, pool: int, quote: str = "USDT") -> DataFrame:
@@ -54,15 +58,17 @@ def health_streaks(days: DataFrame, today: Column, least_observed_s: float = LEA
 
 @dataclass
 class Selection:
-    """Ranked rows with the flags of every stage, the selected and the replacing symbols, and the funnel."""
+    """Ranked rows with the flags of every stage, the selected and the replacing symbols, the funnel, and the rejected
+    (rank, symbol, volume, stage, reason), each by the first stage that rejects it."""
 
     rows: DataFrame
     selected: DataFrame
     replacements: DataFrame
     funnel: DataFrame
+    rejects: DataFrame
 
 
-def select(tickers: DataFrame, pool: int, trading: DataFrame | None = None, excluded: DataFrame | None = None, top: int = TOP) -> Selection:
+def select(tickers: DataFrame, pool: int, trading: DataFrame | None = None, excluded: DataFrame | None = None, top: int = TOP, unsupported: str = SPOT_UNSUPPORTED) -> Selection:
     """TOP-02: the top symbols after sanity, support and health; replacements only got in through health.
 
     The pool is capped before any filter, and rejects are not filled up from beyond it (T29).
@@ -85,7 +91,10 @@ def select(tickers: DataFrame, pool: int, trading: DataFrame | None = None, excl
         F.array_join(F.slice(F.transform(F.array_sort(F.collect_list(F.when(~F.col("sane"), F.struct("rank", "symbol")))), lambda x: x["symbol"]), 1, SAMPLE), ",").alias("rejected_sample"),
         F.lit(available).alias("support_available"),
     )
-    return Selection(rows, chosen.select("nth", "symbol", "volume"), chosen.where(F.col("nth_able") > top).select("symbol"), funnel)
+    stage = F.when(~F.col("sane"), "sanity").when(~F.col("supported"), "support").when(F.col("unhealthy"), "health")
+    why = F.when(~F.col("sane"), F.col("reason")).when(~F.col("supported"), unsupported).otherwise(UNHEALTHY)
+    rejects = rows.withColumn("stage", stage).where("stage is not null").select("rank", "symbol", "volume", "stage", why.alias("reason"))
+    return Selection(rows, chosen.select("nth", "symbol", "volume"), chosen.where(F.col("nth_able") > top).select("symbol"), funnel, rejects)
 
 
 def shards(symbols: DataFrame, size: int = 25) -> DataFrame:

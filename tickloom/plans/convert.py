@@ -18,8 +18,8 @@ ARCHITECTURE = "spark_native_committed_order"
 
 
 def stored(df: DataFrame, root: str) -> DataFrame:
-    """df through a Parquet table beside the catalog: scans and folds that several outputs share run once."""
-    path = f"{root}/_work/{uuid.uuid4().hex}"
+    """df through a Parquet table in a work folder: scans and folds that several outputs share run once."""
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -34,35 +34,45 @@ def convert_date(spark: SparkSession, raw_root: str, meta_root: str, out_root: s
     universe = raw.resolve_universe(spark, raw_root, meta_root, date, VENUES)
     if not universe:
         return {"status": "no_data", "date": date, "architecture": ARCHITECTURE}
+    root = f"{out_root}.staging.{uuid.uuid4().hex}" if staging else out_root
+    work = f"{out_root}.work.{uuid.uuid4().hex}"
+    try:
+        report = _converted(spark, raw_root, universe, root, work, date, interval_s, depth10, allow_partial, staging, by_session)
+        report["runtime_sec"] = round(time.time() - began, 3)
+        if staging and report["status"] == "ok":
+            catalog.swap(spark, root, out_root)
+        return report
+    finally:
+        raw.delete(spark, work)
+        if staging:
+            raw.delete(spark, root)
+
+
+def _converted(spark: SparkSession, raw_root: str, universe: dict[str, list[str]], root: str, work: str, date: str, interval_s: float, depth10: bool, allow_partial: bool, staging: bool, by_session: bool) -> dict:
     expected = spark.createDataFrame([(v, s) for v, symbols in universe.items() for s in symbols], "venue string, symbol string")
-    root = f"{out_root}.staging" if staging else out_root
-    depth = stored(replay.prepared(raw.read_channel(spark, raw_root, "depth_v2", date=date)), root)
-    ticks_in = stored(raw.read_channel(spark, raw_root, "trade_v2", date=date).drop("native_payload"), root)
+    depth = stored(replay.prepared(raw.read_channel(spark, raw_root, "depth_v2", date=date)), work)
+    ticks_in = stored(raw.read_channel(spark, raw_root, "trade_v2", date=date).drop("native_payload"), work)
     info = None
     for venue in universe:
-        rows = raw.exchange_info(spark, raw_root, venue)
+        rows = raw.exchange_info(spark, raw_root, venue, date)
         info = rows if info is None else info.union(rows)
-    known = stored(instruments.build(expected, info), root)
+    known = stored(instruments.build(expected, info), work)
     guard = quality.overwrite_guard(expected, depth.select("venue", "symbol").distinct(), allow=allow_partial, staging=staging).first().asDict()
     if guard["refused"]:
         return {"status": "refused_partial_raw_depth", "date": date, "guard": guard, "architecture": ARCHITECTURE}
     depth, ticks_in = (instruments.attach(x, known) for x in (depth, ticks_in))
-    folded = stored(replay.replay(depth, interval_s=interval_s, depth10=depth10, by_session=by_session), root)
+    folded = stored(replay.replay(depth, interval_s=interval_s, depth10=depth10, by_session=by_session), work)
     ids = known.select("venue", "symbol", "instrument_id")
     ticks = trades.to_ticks(ticks_in.drop("instrument_id"))
+    # an instrument that gives no rows this time must not keep those of an earlier run
+    catalog.purge(spark, root, [r["instrument_id"] for r in ids.select("instrument_id").distinct().collect()], date)
     catalog.write(ticks, root, "trade_ticks", date, ["ts_init", *trades.ORDER])
     canonical = ["ts_init", "session", "seq"]
     catalog.write(replay.deltas(folded).join(ids, ["venue", "symbol"]), root, "deltas", date, [*canonical, "at"])
     catalog.write(replay.depth10(folded).join(ids, ["venue", "symbol"]), root, "depth10", date, canonical)
     catalog.write(replay.fences(folded).join(ids, ["venue", "symbol"]), root, "fences", date, ["start_ts", "end_ts"])
     report = _report(expected, known, ticks_in, depth, folded)
-    report |= {"status": "ok" if report["totals"].get("events") or report["totals"].get("ticks_written") else "empty", "date": date, "architecture": ARCHITECTURE, "guard": guard, "runtime_sec": round(time.time() - began, 3)}
-    if staging:
-        if report["status"] == "ok":
-            catalog.swap(spark, root, out_root)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_root if staging else root}/_work")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return report
+    return report | {"status": "ok" if report["totals"].get("events") or report["totals"].get("ticks_written") else "empty", "date": date, "architecture": ARCHITECTURE, "guard": guard}
 
 
 def _report(expected: DataFrame, known: DataFrame, ticks_in: DataFrame, depth: DataFrame, folded: DataFrame) -> dict:
@@ -88,7 +98,7 @@ def _report(expected: DataFrame, known: DataFrame, ticks_in: DataFrame, depth: D
     return {
         "symbols": rows(known.select("venue", "symbol", "instrument_id")),
         "trades": rows(per_trade),
-        "depth": rows(per_depth),
+        "depth": rows(quality.depth_summary(per_depth, quality.fence_summary(fences), gaps, depth)),
         "gaps": rows(gaps),
         "fences": rows(quality.fence_summary(fences)),
         "fence_examples": rows(quality.fence_examples(fences)),
@@ -104,8 +114,7 @@ def validate_report(report: dict) -> list[str]:
     return found + ([] if report.get("architecture") == ARCHITECTURE else ["foreign architecture"])
 
 
-def save_report(report: dict, *paths: str) -> None:
+def save_report(spark: SparkSession, report: dict, *paths: str) -> None:
     """SNK-09: the same document at every path."""
     for path in paths:
-        with open(path, "w", encoding="utf-8") as f:
-            json.dump(report, f, indent=2, sort_keys=True, default=str)
+        raw.save_text(spark, path, json.dumps(report, indent=2, sort_keys=True, default=str))

@@ -287,11 +287,7 @@ def continuity_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Levels left at the end, from the replay's deltas."""
-    rows = replay.deltas(replay.replay(tape.depth(spark, sf_dir), ["delta"], depth10=False))
-    w = Window.partitionBy("venue", "symbol").orderBy("event", "at")
-    rows = rows.withColumn("segment", F.count_if(F.col("action") == "CLEAR").over(w)).where("action <> 'CLEAR'").withColumn("place", F.struct("event", "at"))
-    return replay.final_levels(rows)
+    return replay.books(replay.replay(tape.depth(spark, sf_dir), ["book"], depth10=False))
 
 
 LEVELS_SQL = f"""WITH {DEPTH_SQL}, used AS (SELECT *, sum(seed::INT) OVER (PARTITION BY symbol ORDER BY session, seq) AS segment FROM marked WHERE accepted OR seed),
@@ -310,10 +306,84 @@ def book_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(replay.best_levels(_book(spark, sf_dir)).select("symbol", "side", "level", "price", "size"), "price", "size")
 
 
-@query()
+@query(f"""WITH RECURSIVE {DEPTH_SQL}, used AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY session, seq) AS place, sum(seed::INT) OVER (PARTITION BY symbol ORDER BY session, seq) AS segment FROM marked WHERE accepted OR seed),
+changes AS (SELECT symbol, side, price, segment, place, size, lead(place) OVER (PARTITION BY symbol, segment, side, price ORDER BY place) AS until FROM used),
+held AS (
+  SELECT u.symbol, u.place, c.side, c.price, c.size, row_number() OVER (PARTITION BY u.symbol, u.place, c.side ORDER BY CASE WHEN c.side = 'BUY' THEN -c.price ELSE c.price END) AS level
+  FROM used u JOIN changes c ON c.symbol = u.symbol AND c.segment = u.segment AND c.place <= u.place AND (c.until IS NULL OR c.until > u.place) WHERE c.size > 0),
+shown AS (
+  SELECT symbol, place, array_to_string(list(price || 'x' || size ORDER BY level) FILTER (side = 'BUY' AND level <= 10), ',') AS bids,
+         array_to_string(list(price || 'x' || size ORDER BY level) FILTER (side = 'SELL' AND level <= 10), ',') AS asks FROM held GROUP BY ALL HAVING count(*) FILTER (side = 'BUY') > 0 AND count(*) FILTER (side = 'SELL') > 0),
+able AS (SELECT u.symbol, u.session, u.seq, u.seed, u.last_id, u.ts_ns, s.bids, s.asks, row_number() OVER (PARTITION BY u.symbol ORDER BY u.place) AS nth FROM used u JOIN shown s ON u.symbol = s.symbol AND u.place = s.place),
+given AS (
+  SELECT able.*, ts_ns AS emitted, true AS emits FROM able WHERE nth = 1
+  UNION ALL
+  SELECT a.*, CASE WHEN a.seed OR a.ts_ns - g.emitted >= 3600000000000 THEN a.ts_ns ELSE g.emitted END, a.seed OR a.ts_ns - g.emitted >= 3600000000000 FROM able a JOIN given g ON a.symbol = g.symbol AND a.nth = g.nth + 1)
+SELECT symbol, session, seq, bids, asks, last_id AS sequence, ts_ns AS ts_event FROM given WHERE emits""")
 def depth10_throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten-level snapshots at least an hour apart: a greedy sample, which SQL does not express without recursion."""
-    return replay.depth10(replay.replay(tape.depth(spark, sf_dir), ["depth10"], interval_s=3600.0))
+    """Ten-level snapshots at least an hour apart, their levels as text without the padding."""
+    rows = replay.depth10(replay.replay(tape.depth(spark, sf_dir), ["depth10"], interval_s=3600.0))
+    shown = lambda p, s: F.array_join(F.transform(F.filter(F.arrays_zip(F.col(p).alias("p"), F.col(s).alias("s")), lambda x: x["s"] != 0), lambda x: F.concat(x["p"].cast("long").cast("string"), F.lit("x"), x["s"].cast("long").cast("string"))), ",")
+    return rows.select("symbol", "session", "seq", shown("bid_prices", "bid_sizes").alias("bids"), shown("ask_prices", "ask_sizes").alias("asks"), "sequence", "ts_event")
+
+
+FUTURES_SQL = f"""{EVENTS_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM ev),
+tape AS (SELECT symbol, session, event_id AS seq, n, event_type = 'signup' AS seed, event_type = 'error' AS err, n * 10 + 9 AS last_id, n * 10 - 1 AS pu, n * 10 AS first_id, ts_ns FROM numbered),
+segmented AS (SELECT *, sum(seed::INT) OVER (PARTITION BY symbol, session ORDER BY seq) AS seg FROM tape),
+placed AS (SELECT *, row_number() OVER (PARTITION BY symbol, session, seg ORDER BY seq) AS nth, lag(last_id) OVER (PARTITION BY symbol, session, seg ORDER BY seq) AS before FROM segmented),
+judged AS (
+  SELECT *, max(CASE WHEN seed THEN 0 WHEN nth = 2 AND seg > 0 THEN CASE WHEN err THEN 1 ELSE 0 END WHEN err OR pu <> before THEN 1 ELSE 0 END) OVER (PARTITION BY symbol, session, seg ORDER BY seq) AS brk FROM placed)"""
+
+
+@query(f"""WITH {FUTURES_SQL} SELECT symbol, session, seq, last_id AS sequence, ts_ns AS ts_event FROM judged WHERE NOT seed AND seg > 0 AND brk = 0""")
+def replay_futures_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tape by the futures rule: the first update after a snapshot spans its id, later ones name the id before."""
+    rows = replay.replay(tape.futures_depth(spark, sf_dir), ["accepted"], depth10=False)
+    return rows.select("symbol", "session", "seq", "sequence", "ts_event")
+
+
+@query(f"""WITH {FUTURES_SQL}, b AS (SELECT *, count(*) FILTER (NOT seed AND brk = 1 AND seg > 0) OVER (PARTITION BY symbol, session, seg ORDER BY seq) AS bad FROM judged)
+SELECT symbol, count(*) FILTER (seed) AS seeds, count(*) FILTER (NOT seed AND seg > 0 AND brk = 0) AS accepted, count(*) FILTER (bad > 0 AND NOT seed) AS desyncs, count(*) FILTER (seg = 0) AS unseeded FROM b GROUP BY symbol""")
+def replay_futures_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = replay.replay(tape.futures_depth(spark, sf_dir), ["metrics"], depth10=False)
+    rows = replay.metrics(found)
+    return rows.select("symbol", "seeds", (F.col("events") - F.col("seeds")).alias("accepted"), "desyncs", (F.col("updates") - (F.col("events") - F.col("seeds")) - F.col("desyncs")).alias("unseeded"))
+
+
+@query(f"""WITH {DEPTH_SQL}, sided AS (SELECT *, lag(price) OVER w AS p1, lag(size) OVER w AS s1 FROM marked WINDOW w AS (PARTITION BY symbol ORDER BY seq)),
+parts AS (
+  SELECT symbol, seq, seed, last_id, ts_ns, 'BUY' AS side, price, size, 0 AS pos, 1 + (p1 IS NOT NULL)::INT AS levels FROM sided WHERE accepted OR seed
+  UNION ALL SELECT symbol, seq, seed, last_id, ts_ns, 'SELL', p1, s1, 1, 2 FROM sided WHERE (accepted OR seed) AND p1 IS NOT NULL)
+SELECT symbol, seq, pos + seed::INT AS at, CASE WHEN size > 0 THEN 'UPDATE' ELSE 'DELETE' END AS action, side, price::DOUBLE AS price, size::DOUBLE AS size, CASE WHEN seed THEN 32 ELSE 0 END + CASE WHEN pos = levels - 1 THEN 128 ELSE 0 END AS flags FROM parts
+UNION ALL SELECT symbol, seq, 0, 'CLEAR', NULL, NULL, NULL, 32 FROM marked WHERE seed""")
+def replay_two_sided_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with a level on both sides: bids come first, and only the last level of an event has its flag."""
+    rows = replay.deltas(replay.replay(tape.two_sided_depth(spark, sf_dir), ["delta"], depth10=False))
+    return doubles(rows.select("symbol", "seq", "at", "action", "side", "price", "size", "flags"), "price", "size")
+
+
+@query(f"""WITH {FENCES_SQL}, m AS (SELECT venue, symbol, count(*) AS raw_record_count, count(*) FILTER (seed) AS snapshot_seed_count, count(*) FILTER (NOT seed) AS depth_update_record_count, count(*) FILTER (accepted OR seed) AS deltas_written,
+  count(*) FILTER (NOT seed AND NOT accepted AND seg > 0) AS desync_events, arg_min(ts_ns, (session, seq)) AS first_depth_ts_ns, arg_max(ts_ns, (session, seq)) AS last_depth_ts_ns FROM marked GROUP BY ALL),
+f AS (SELECT venue, symbol, count(*) AS fenced_ranges, count(*) FILTER (NOT recovered) AS unrecovered FROM fences GROUP BY ALL),
+g AS (SELECT venue, symbol, coalesce(max(gap), 0) AS depth_max_gap_ns, count(*) FILTER (gap > 60000000000) AS depth_over_60s FROM (SELECT *, ts_ns - lag(ts_ns) OVER (PARTITION BY symbol ORDER BY ts_ns) AS gap FROM marked WHERE NOT seed) GROUP BY ALL)
+SELECT symbol, raw_record_count, snapshot_seed_count, depth_update_record_count, deltas_written, coalesce(fenced_ranges, 0) AS fenced_ranges, coalesce(unrecovered, 0) AS unrecovered, desync_events, first_depth_ts_ns, last_depth_ts_ns,
+       coalesce(depth_max_gap_ns, 0) AS depth_max_gap_ns, coalesce(depth_over_60s, 0) AS depth_over_60s, deltas_written > 0 AS will_create_l2 FROM m LEFT JOIN f USING (venue, symbol) LEFT JOIN g USING (venue, symbol)""")
+def depth_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's depth, one row per symbol."""
+    records = tape.depth(spark, sf_dir)
+    found = replay.replay(records, ["metrics", "fence"], depth10=False)
+    times = records.where("record_type = 'depth_update'").select("venue", "symbol", F.col("ts_event").alias("ts"))
+    gaps = quality.gap_diagnostics(times, times.limit(0), times.limit(0), times.limit(0).select("venue", "symbol", F.lit("").alias("event"), F.lit("").alias("reason")))
+    rows = quality.depth_summary(replay.metrics(found), quality.fence_summary(replay.fences(found)), gaps, records)
+    return rows.select(
+        "symbol", "raw_record_count", "snapshot_seed_count", "depth_update_record_count", "deltas_written", "fenced_ranges", "unrecovered", "desync_events", "first_depth_ts_ns", "last_depth_ts_ns", "depth_max_gap_ns", "depth_over_60s", "will_create_l2",
+    )
+
+
+@query(f"WITH {TRADES_SQL}, {EXPECTED_SQL} SELECT venue, symbol FROM expected SEMI JOIN (SELECT venue, symbol FROM tr WHERE {IS_TRADE}) t USING (venue, symbol)")
+def symbols_with_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.presence(tape.trades(spark, sf_dir), _expected(spark, sf_dir))
 
 
 def _fences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,6 +518,12 @@ def universe_replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _selection(spark, sf_dir).replacements
 
 
+@query(f"""WITH {TICKERS_SQL} SELECT rank, symbol, volume, CASE WHEN NOT sane THEN 'sanity' WHEN NOT supported THEN 'support' ELSE 'health' END AS stage,
+       CASE WHEN NOT sane THEN reason WHEN NOT supported THEN '{universe.SPOT_UNSUPPORTED}' ELSE '{universe.UNHEALTHY}' END AS reason FROM flagged WHERE NOT sane OR NOT supported OR unhealthy""")
+def universe_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selection(spark, sf_dir).rejects
+
+
 @query(f"""WITH {TICKERS_SQL} SELECT count(*) AS pool, count(*) FILTER (sane) AS after_sanity, count(nth_able) AS after_support, count(nth) AS after_health, count(*) FILTER (nth <= 50) AS selected,
        array_to_string((list(symbol ORDER BY rank) FILTER (NOT sane))[1:12], ',') AS rejected_sample, true AS support_available FROM nth""")
 def universe_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,22 @@ def depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def futures_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """depth by the futures rule: updates name the last id before them (`pu`) and span it; errors do neither."""
+    rows, last = depth(spark, sf_dir), F.col("final_id")
+    broken = F.col("first_id") % 10 == 3
+    first, pu = F.when(broken, last).otherwise(last - 10), F.when(broken, F.lit(-1)).otherwise(last - 10)
+    return rows.withColumns({"venue": F.lit(FUTURES), "first_id": first, "pu": pu})
+
+
+def two_sided_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """depth whose messages have the event's level as bid and that of the event before as ask."""
+    rows = depth(spark, sf_dir)
+    level = F.coalesce("bids", "asks")
+    before = F.lag(level).over(Window.partitionBy("symbol").orderBy("seq"))
+    return rows.withColumns({"bids": level, "asks": before})
+
+
 # The same, in DuckDB SQL.
 EVENTS_SQL = f"""ev AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN '{SPOT}' ELSE '{FUTURES}' END AS venue, user_id::VARCHAR AS symbol, event_id, user_id, event_type, value, ts,
