@@ -301,3 +301,33 @@ def test_universe_document_is_used_again_only_under_its_policy(spark, tmp_path):
     assert not universe_cache.usable(doc | {SPOT: ["BTCUSDT"]}, top=2)
     universe_cache.save(spark, doc, str(tmp_path), DAY)
     assert raw.resolve_universe(spark, str(tmp_path), str(tmp_path), DAY)[SPOT] == doc[SPOT]
+
+
+def arrival(kind, n, seconds, **ids):
+    return {"kind": kind, "arrival": n, "ts_recv_ns": int(seconds * 1e9), "first_id": None, "final_id": None, "pu": None, "last_update_id": None} | ids
+
+
+def test_requests_wait_for_the_cooldown():
+    m = sync.Sync(SPOT, "A")
+    m.take(arrival("connect", 0, 0))
+    m.take(arrival("snapshot", 1, 1, last_update_id=10))
+    m.take(arrival("update", 2, 2, first_id=11, final_id=11))
+    m.take(arrival("update", 3, 3, first_id=20, final_id=20))
+    assert m.s["state"] == "desynced" and m.s["bootstraps"] == 1 and m.s["asked"] == []
+    m.take(arrival("update", 4, 4, first_id=21, final_id=21))
+    assert m.s["state"] == "desynced"
+    m.take(arrival("update", 5, 6, first_id=22, final_id=22))
+    assert m.s["state"] == "resync_required" and len(m.s["asked"]) == 1 and len(m.s["buffer"]) == 3
+    for i in range(7):
+        m.take(arrival("snapshot", 10 * i + 10, 10 * i + 10, last_update_id=100 * i + 100))
+        m.take(arrival("update", 10 * i + 11, 10 * i + 16, first_id=5, final_id=9000))
+        m.take(arrival("update", 10 * i + 12, 10 * i + 17, first_id=99_000, final_id=99_001))
+    assert m.s["state"] == "fenced" and m.s["bootstraps"] == 1
+
+
+def test_large_ids_stay_exact(spark):
+    big = 2**53 + 1
+    rows = [(SPOT, "A", "connect", 0, None, None, None, None, 0), (SPOT, "A", "snapshot", 1, None, None, None, big, 1), (SPOT, "A", "update", 2, big + 1, big + 1, None, None, 2)]
+    frame = spark.createDataFrame(rows, jobs.ARRIVALS)
+    got = {r.record_type: r for r in sync.synchronise_batch(frame).collect()}
+    assert got["snapshot_seed"].last_update_id == big and got["depth_update"].final_id == big + 1

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import health
+from tickloom.sources import raw
 
 ARRIVALS = T.StructType([T.StructField(n, t) for n, t in (("venue", T.StringType()), ("symbol", T.StringType()), ("kind", T.StringType()), *((c, T.LongType()) for c in ("arrival", "first_id", "final_id", "pu", "last_update_id", "ts_recv_ns")))])
 
@@ -36,8 +37,7 @@ def heartbeat(messages: DataFrame, path: str, checkpoint: str, requested: DataFr
 
     def write(batch: DataFrame, epoch: int) -> None:
         rows = [r.asDict() for r in health.coverage_ratio(batch.join(requested, ["venue", "symbol"], "left_semi"), requested).collect()]
-        with open(path, "w", encoding="utf-8") as f:
-            json.dump({"epoch": epoch, "at": int(time.time()), "coverage": rows}, f)
+        raw.save_text(batch.sparkSession, path, json.dumps({"epoch": epoch, "at": int(time.time()), "coverage": rows}))
 
     writer = health.message_stats(messages).writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()

@@ -11,13 +11,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom.operators.replay import follows
 from tickloom.schemas import FUTURES
+from tickloom.session import ship
 
 # Bounds of the live synchronisation.
-BUFFER, WINDOW_S, MOST_RESYNCS = 5000, 300, 6
+BUFFER, WINDOW_S, MOST_RESYNCS, COOLDOWN_S = 5000, 300, 6, 5
 
 OUT = "venue string, symbol string, session long, session_seq long, arrival long, record_type string, state string, previous string, reason string, first_id long, final_id long, pu long, last_update_id long, ts_recv_ns long"
 
@@ -27,7 +29,7 @@ class Sync:
 
     def __init__(self, venue: str, symbol: str, saved: str | None = None):
         self.venue, self.symbol = venue, symbol
-        self.s: dict = json.loads(saved) if saved else {"session": 0, "seq": 0, "state": "unsynced", "last": None, "buffer": [], "asked": []}
+        self.s: dict = json.loads(saved) if saved else {"session": 0, "seq": 0, "state": "unsynced", "last": None, "buffer": [], "asked": [], "requested": None, "bootstraps": 0}
         self.out: list[dict] = []
 
     def saved(self) -> str:
@@ -46,9 +48,17 @@ class Sync:
         self.commit("sync_state", a, state=state, previous=previous, reason=reason)
 
     def resync(self, reason: str, a: dict) -> None:
-        """STF-17: too many requests within the window fence the symbol; bootstraps do not count."""
+        """STF-17: too many requests within the window fence the symbol; bootstraps are counted on their own.
+
+        A request within the cooldown of the one before is not made; the next arrival asks again.
+        """
         now = a["ts_recv_ns"]
-        if reason != "bootstrap":
+        if self.s["state"] == "fenced" or (self.s["requested"] is not None and now - self.s["requested"] < COOLDOWN_S * 1_000_000_000):
+            return
+        self.s["requested"] = now
+        if reason == "bootstrap":
+            self.s["bootstraps"] += 1
+        else:
             self.s["asked"] = [t for t in self.s["asked"] if t >= now - WINDOW_S * 1_000_000_000] + [now]
             if len(self.s["asked"]) > MOST_RESYNCS:
                 return self.become("fenced", f"resync_limit_exceeded:{reason}", a)
@@ -64,6 +74,8 @@ class Sync:
             self.promote(a)
         elif self.s["last"] is None or self.s["state"] in ("desynced", "resync_required", "fenced"):
             self.s["buffer"] = (self.s["buffer"] + [a])[-BUFFER:]
+            if self.s["state"] in ("unsynced", "desynced"):
+                self.resync("bootstrap" if self.s["state"] == "unsynced" else "continuity_break", a)
         else:
             self.live(a)
 
@@ -113,8 +125,21 @@ class Sync:
             self.broken(a)
 
 
-def _clean(row: dict) -> dict:
-    return {k: None if v is None or v != v else (v if isinstance(v, str) else int(v)) for k, v in row.items()}
+NUMBERS = ("arrival", "first_id", "final_id", "pu", "last_update_id", "ts_recv_ns")
+NAMES = [c.split()[0] for c in OUT.split(", ")]
+LONGS = {c.split()[0]: "Int64" for c in OUT.split(", ") if c.endswith(" long")}
+
+
+def _exact(arrivals: DataFrame) -> DataFrame:
+    """Numbers as text: pandas would turn a column of ids with gaps into doubles, which lose digits over 2**53."""
+    return arrivals.select("venue", "symbol", "kind", *[F.col(c).cast("string").alias(c) for c in NUMBERS])
+
+
+def _run(machine: Sync, batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    rows = [r | {c: None if r[c] is None or r[c] != r[c] else int(r[c]) for c in NUMBERS} for batch in batches for r in batch.to_dict("records")]
+    for row in sorted(rows, key=lambda r: r["arrival"]):
+        machine.take(row)
+    return pd.DataFrame(machine.out, columns=NAMES, dtype=object).astype(LONGS)
 
 
 def synchronise(arrivals: DataFrame) -> DataFrame:
@@ -123,12 +148,12 @@ def synchronise(arrivals: DataFrame) -> DataFrame:
 
     def step(key: tuple[str, str], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         machine = Sync(*key, state.get[0] if state.exists else None)
-        rows = pd.concat(list(batches)).sort_values("arrival")
-        for row in rows.to_dict("records"):
-            machine.take(_clean(row))
+        out = _run(machine, batches)
         state.update((machine.saved(),))
-        yield pd.DataFrame(machine.out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({c.split()[0]: "Int64" for c in OUT.split(", ") if c.endswith(" long")})
+        yield out
 
+    ship(arrivals.sparkSession)
+    arrivals = _exact(arrivals)
     return arrivals.groupBy("venue", "symbol").applyInPandasWithState(step, OUT, "saved string", "append", GroupStateTimeout.NoTimeout)
 
 
@@ -136,9 +161,8 @@ def synchronise_batch(arrivals: DataFrame) -> DataFrame:
     """The same of a finished table, without state."""
 
     def step(key: tuple[str, str], rows: pd.DataFrame) -> pd.DataFrame:
-        machine = Sync(*key)
-        for row in rows.sort_values("arrival").to_dict("records"):
-            machine.take(_clean(row))
-        return pd.DataFrame(machine.out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({c.split()[0]: "Int64" for c in OUT.split(", ") if c.endswith(" long")})
+        return _run(Sync(*key), iter([rows]))
 
+    ship(arrivals.sparkSession)
+    arrivals = _exact(arrivals)
     return arrivals.groupBy("venue", "symbol").applyInPandas(step, OUT)
