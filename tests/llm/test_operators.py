@@ -458,3 +458,51 @@ def test_odd_tool_calls(spark):
     assert by["s"].message == '{"role":"a","tool_call":{"arguments":{"k\\ud800":"\\ud800"},"id":"s","name":"f"}}' and by["s"].valid
     assert by["d"].errors == ["$: nested too deep"] and by["m"].errors == ["$: not object"] and by["n"].errors == ["$: not JSON"] and by["l"].valid and long in by["l"].message
     assert {(r.anchor, r.level) for r in rows if r.call_id == "t"} == {(6, 2), (7, 2)}  # the smaller dependencies: d
+
+
+def brute_toxicity(net, text):
+    """The highest window, computed word by word."""
+    h, words = toxicity.HIDDEN, toxicity.terms(text)
+    p = net.p
+
+    def enter(word):
+        ids = [net.grams.get(g, 0) for g in toxicity.grams(word)]
+        return np.concatenate([p["ew"][net.words.get(word, 0)], p["eg"][ids].mean(0)])
+
+    def read(d, xs):
+        state, out = np.zeros(h), []
+        for x in xs:
+            a, b = x @ p["x" + d] + p["c" + d], state @ p["h" + d]
+            r, z = 1 / (1 + np.exp(-(a[:h] + b[:h]))), 1 / (1 + np.exp(-(a[h : 2 * h] + b[h : 2 * h])))
+            state = (1 - z) * np.tanh(a[2 * h :] + r * b[2 * h :]) + z * state
+            out.append(state)
+        return out
+
+    best = 0.0
+    for start in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STEP), toxicity.STEP) if words else ():
+        xs = [enter(w) for w in words[start : start + toxicity.WINDOW]]
+        states = [np.concatenate(s) for s in zip(read("f", xs), read("b", xs[::-1])[::-1])]
+        e = np.exp([s @ p["att"] for s in states])
+        best = max(best, 1 / (1 + np.exp(-(sum(w * s for w, s in zip(e / e.sum(), states)) @ p["out"] + p["bias"][0]))))
+    return best
+
+
+def test_toxicity_equals_brute_force(spark):
+    """Whole texts, in all their overlapping windows, of the query's rows."""
+    texts = [prose(n, 40 + n) + (" zorgon" if n % 3 == 0 else "") for n in (1, 5, 31, 32, 33, 47, 48, 49, 64, 100, 400)] + ["", "?!"]
+    rows = [(i, t) for i, t in enumerate(texts * 3)]
+    marks = spark.createDataFrame([(i, int("zorgon" in t)) for i, t in rows], "doc_id long, toxic int")
+    docs = table(spark, rows)
+    net = toxicity.fit(docs, marks)
+    got = {r.doc_id: r.score for r in toxicity.rate_toxicity(docs, marks).collect()}
+    assert all(abs(got[i] - brute_toxicity(net, t)) < 1e-4 for i, t in rows) and len(set(got.values())) > 5
+
+
+def test_toxicity_learns_from_a_bounded_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((texts, labels)))
+    rows = [(i, f"w{i} " * 50) for i in range(400)] + [(1, f"other {i}") for i in range(300)]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    toxicity.fit(table(spark, rows), marks, max_docs=60)
+    toxicity.fit(table(spark, rows), marks, max_docs=400, max_bytes=20_000)
+    assert 60 < len(seen[0][0]) < 180 and 0 < sum(map(len, seen[1][0])) < 40_000

@@ -18,16 +18,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import materialize, scratch
 from tickloom.llm.shingles import WORDS
 
 WINDOW, STEP = 32, 16
 HIDDEN, WIDTH, GRAM = 8, 8, 4
 #: Entries of the vocabularies, learned from the training texts, and in how many of them an entry must occur.
 WORD_LIMIT, GRAM_LIMIT, LEAST_TEXTS = 20_000, 30_000, 4
-#: Labelled texts of each class to train on, at most about this many.
-MAX_DOCS = 2_500
-#: Windows of one training text that take part: those with the most telling words.
-WINDOWS = 6
+#: Labelled texts of each class to train on, at most about this many, and bytes of all of them.
+MAX_DOCS, MAX_BYTES = 2_500, 48_000_000
+#: Values of the hash that draws them.
+HASHES = 1 << 53
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 #: Few texts are gone over more often, until there were this many steps.
 LEAST_STEPS = 200
@@ -208,17 +209,15 @@ def train(texts: list[str], labels: list[int]) -> Network:
         net.p["bias"][0] = 4.0 if sizes[1] else -4.0
         return net
     ids = net.ids(list(vocabulary))
-    hint = np.concatenate([np.abs(net.inputs(part)[:, [0, WIDTH]]).max(1) for _, part in pieces(ids)] or [np.zeros(0)])
     rows, owner = [], []
     for d, w in enumerate(words):
         if len(w):
             win = windows_of(len(w))
-            win = np.where(win >= 0, w[win], -1)
-            score = np.where(win >= 0, hint[win], 0).max(1)
-            win = win[np.argsort(-score, kind="stable")[:WINDOWS]]
-            rows.append(win)
-            owner += [d] * len(win)
-    rows, owner, label = np.concatenate(rows), np.array(owner), np.array(labels, float)
+            rows.append(np.where(win >= 0, w[win], -1).astype(np.int32))
+            owner.append(np.full(len(win), d))
+    rows, owner, label = np.concatenate(rows), np.concatenate(owner), np.array(labels, float)
+    # beside its highest window, a clean text gives one more on average
+    often = 1 / np.bincount(owner, minlength=len(texts))[owner]
     balance = np.where(label == 1, len(label) / (2 * sizes[1]), len(label) / (2 * sizes[0]))
     rng = np.random.default_rng(5)
     m, v, n = {k: np.zeros_like(x) for k, x in net.p.items()}, {k: np.zeros_like(x) for k, x in net.p.items()}, 0
@@ -230,7 +229,7 @@ def train(texts: list[str], labels: list[int]) -> Network:
             logits = np.concatenate([Scorer.logits(net, table, rows[i : i + 4096]) for i in range(0, len(rows), 4096)])
         order = np.lexsort((-logits, owner))
         best = order[np.append(True, owner[order][1:] != owner[order][:-1])]
-        clean = np.flatnonzero((label[owner] == 0) & (rng.random(len(owner)) < 1 / WINDOWS))
+        clean = np.flatnonzero((label[owner] == 0) & (rng.random(len(owner)) < often))
         chosen = rng.permutation(np.concatenate([best, clean]))
         for i in range(0, len(chosen), BATCH):
             b = rows[chosen[i : i + BATCH]]
@@ -322,15 +321,24 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_docs: int = MAX_DOCS) -> Network:
-    """Train on at most about max_docs labelled rows of each class, chosen by a hash of their key."""
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Network:
+    """Train on at most about max_docs labelled rows of each class and max_bytes in all, chosen by a hash of their key.
+
+    Of several texts of one key the smallest is taken; texts are read whole.
+    """
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)").where(~held_out("k")).groupBy("k").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    share = F.when(F.col("y") == 1, F.lit(min(1.0, max_docs / max(1, sizes.get(1, 0))))).otherwise(F.lit(min(1.0, max_docs / max(1, sizes.get(0, 0)))))
-    chosen = known.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < share * 1_000_000)
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null").join(F.broadcast(chosen), "k").distinct().toPandas()
-    rows = rows.sort_values(["k", "t"])
-    return train(rows["t"].tolist(), rows["y"].tolist())
+    place = F.pmod(F.xxhash64("k"), F.lit(HASHES))
+    limit = {y: int(min(1.0, max_docs / max(1, sizes.get(y, 0))) * HASHES) for y in (0, 1)}
+    chosen = known.where(place < F.when(F.col("y") == 1, F.lit(limit[1])).otherwise(F.lit(limit[0])))
+    with scratch(docs.sparkSession):
+        texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
+        rows = materialize(texts.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t")))
+        total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        if total > max_bytes:
+            rows = rows.where(F.pmod(F.xxhash64("k", F.lit("again")), F.lit(HASHES)) < int(max_bytes / total * HASHES))
+        found = rows.toPandas().sort_values(["k", "t"])
+    return train(found["t"].tolist(), found["y"].tolist())
 
 
 def rate_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> DataFrame:
