@@ -366,12 +366,15 @@ def test_gradients_and_learning(spark, odd, none):
     assert toxicity.rate_toxicity(none, marks.limit(0)).count() == 0
 
 
-def test_nearest_recall_and_ties(spark):
+@pytest.mark.parametrize("most", [128, 4])
+def test_nearest_recall_and_ties(spark, most, monkeypatch):
+    monkeypatch.setattr(nearest, "MOST_PARTS", most)
+    monkeypatch.setattr(nearest, "ROWS_PER_PART", 40 if most == 4 else 800)  # 4: the parts of the first cut are cut again
     r = np.random.default_rng(4)
     centres = r.normal(size=(8, 16))
     rows = [(i, (centres[i % 8] + 0.4 * r.normal(size=16)).astype(np.float32).tolist()) for i in range(1200)]
     rows += [(2000 + i, rows[50][1]) for i in range(20)] + [(3000, None), (3001, [0.0] * 16), (3002, [float("nan")] * 16), (3003, [None] * 16), (None, rows[0][1])]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as id", "'x' as part", "2 as one", "3 as v")
     got: dict[int, list] = {}
     for x in nearest.nearest(frame).orderBy("query_id", "rank").collect():
         got.setdefault(x.query_id, []).append((x.vec_id, x.score))

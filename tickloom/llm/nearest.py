@@ -2,11 +2,14 @@
 
 A neighbour graph of a bounded sample is cut into balanced parts that keep neighbours together. A small
 classifier learns the parts from the vectors; it places every vector of the table and names the most probable
-parts of every query. Within these parts all candidates are ranked by exact cosine, block by block.
+parts of every query. Parts of large tables are cut again in the same way, each from a bounded sample of its own, so
+that the number of parts grows with the table. Within the parts a query visits all candidates are ranked by exact
+cosine, block by block.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,17 +18,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize
+from tickloom.llm.common import lasting, materialize, scratch
 
-#: Sampled vectors per part, least and most parts, and vectors of the table per part within that range.
+#: Sampled vectors per part, least and most parts of one cut, and vectors of the table per part within that range; a
+#: part of the first cut with over twice as many is cut again.
 SAMPLE_PER_PART, LEAST_PARTS, MOST_PARTS, ROWS_PER_PART = 48, 2, 128, 800
 #: Neighbours in the graph; most a part may hold, as a multiple of its even share.
 DEGREE, BALANCE = 10, 1.1
 #: A query visits so many of its most probable parts that, for sampled vectors kept out of training, this share of
 #: their nearest sampled neighbours lies in the visited parts; every KEPT_OUTth sampled vector is kept out.
 RECALL, KEPT_OUT = 0.95, 8
-#: Candidates and queries of one block.
-BLOCK = 2000
+#: Candidates and queries that meet in one task at a time.
+BLOCK, TURN = 2000, 8000
+#: Values of the hash that draws samples.
+HASHES = 1 << 53
+RESULT = "query_id long, rank int, vec_id long, score double"
 #: Groups over which copies of one vector are first spread.
 SALTS = 16
 
@@ -143,15 +150,55 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 1))
 
 
-def visits_needed(router: Router, x: np.ndarray, tests: np.ndarray, k: int) -> int:
-    """Parts to visit for RECALL, measured on unit vectors the router was not trained on."""
+@dataclass
+class Tree:
+    """Routers of the first cut and of parts cut again (None: not cut); leaves are numbered part by part."""
+
+    top: Router
+    below: list[Router | None]
+
+    def sizes(self) -> list[int]:
+        return [len(r.b2) if r else 1 for r in self.below]
+
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        """Of every leaf, for a few vectors."""
+        top = self.top.probabilities(x)
+        return np.hstack([top[:, i : i + 1] * r.probabilities(x) if r else top[:, i : i + 1] for i, r in enumerate(self.below)])
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """The most probable leaf of the most probable part."""
+        part = self.top.probabilities(x).argmax(1)
+        out = np.concatenate([[0], np.cumsum(self.sizes())])[part]
+        for i in np.unique(part).tolist():
+            if self.below[i]:
+                out[part == i] += self.below[i].probabilities(x[part == i]).argmax(1)
+        return out
+
+    def visits(self, x: np.ndarray, most: int) -> list[list[int]]:
+        """The most probable leaves of each vector."""
+        out: list[list[int]] = []
+        for i in range(0, len(x), 128):
+            out += np.argsort(-self.probabilities(x[i : i + 128]), axis=1, kind="stable")[:, :most].tolist()
+        return out
+
+
+def visits_needed(tree: Tree, x: np.ndarray, tests: np.ndarray, k: int) -> int:
+    """Leaves to visit for RECALL, measured on unit vectors the routers were not trained on."""
     if not len(tests):
-        return router.b2.shape[0]
-    order = np.argsort(-router.probabilities(tests), axis=1, kind="stable")
-    rank = np.argsort(order, axis=1)
-    near = np.argsort(-(tests @ x.T), axis=1)[:, :k]
-    needed = np.sort(np.take_along_axis(rank, router.probabilities(x).argmax(1)[near], 1).ravel())
-    return int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))]) + 1
+        return sum(tree.sizes())
+    leaf, needed = tree.leaf(x), []
+    for i in range(0, len(tests), 128):
+        part = tests[i : i + 128]
+        order = np.argsort(np.argsort(-tree.probabilities(part), axis=1, kind="stable"), axis=1)
+        needed.append(np.take_along_axis(order, leaf[np.argsort(-(part @ x.T), axis=1)[:, :k]], 1).ravel())
+    found = np.sort(np.concatenate(needed))
+    return int(found[min(len(found) - 1, int(np.ceil(RECALL * len(found))))]) + 1
+
+
+def fit_router(x: np.ndarray, parts: int) -> Router:
+    """A router over about so many parts of these unit vectors, fewer if they are few."""
+    parts = max(1, min(parts, len(x) // 4))
+    return train_router(x, balanced_parts(x, parts), parts)
 
 
 def best_in_block(candidates: np.ndarray, first_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -173,9 +220,51 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     Vectors null, empty, zero or with null or non-finite components take no part, nor do null keys and vectors
     of another length than the commonest. Rows equal in key and vector count once; copies of one vector are
     collapsed for the search, which keeps their k + 1 smallest keys, and every query still gets its own answer.
-    Fewer than k candidates give fewer rows, an empty table none. The index is fitted on a bounded sample of
-    distinct vectors, by hash; every vector is placed and searched.
+    Fewer than k candidates give fewer rows, an empty table none. The index is fitted on bounded samples of
+    distinct vectors, by hash; every vector is placed and searched. Other columns of any name are ignored.
+    """
+    with scratch(vectors.sparkSession):
+        return lasting(_nearest(vectors, key, vector, every, k))
+
+
+def _tree(distinct: DataFrame, total: int, k: int) -> tuple[Tree, int]:
+    """The routers, fitted on bounded samples, and how many leaves a query visits.
+
+    What reaches the driver is a sample of MOST_PARTS x SAMPLE_PER_PART vectors and at most MOST_PARTS routers.
     """
+
+    def sampled(rows: DataFrame, wanted: int, of: int) -> DataFrame:
+        return rows if of <= wanted else rows.where(F.pmod("one", F.lit(HASHES)) < int(HASHES * wanted / of))
+
+    parts = int(np.clip(total // ROWS_PER_PART, LEAST_PARTS, MOST_PARTS))
+    wanted = parts * SAMPLE_PER_PART
+    x = unit(matrix(sampled(distinct, wanted, total).select("one", "v").toPandas().sort_values("one")["v"]))
+    out = np.arange(len(x)) % KEPT_OUT == KEPT_OUT - 1
+    top = fit_router(x[~out], parts)
+    tree = Tree(top, [None] * len(top.b2))
+    if total > 2 * ROWS_PER_PART * len(top.b2):
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    b["part"] = top.probabilities(matrix(b["v"])).argmax(1)
+                    yield b
+
+        def cut(rows: pd.DataFrame) -> pd.DataFrame:
+            again = rows["parts"].iloc[0]
+            router = fit_router(unit(matrix(rows.sort_values("one")["v"])), int(again))
+            return pd.DataFrame({"part": [rows["part"].iloc[0]], "router": [pickle.dumps(router)]})
+
+        placed = materialize(distinct.select("one", "v").mapInPandas(place, "one long, v array<double>, part int"))
+        again = F.least(F.floor(F.col("n") / ROWS_PER_PART), F.lit(MOST_PARTS)).cast("int")
+        sizes = materialize(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * ROWS_PER_PART).withColumn("parts", again))
+        some = placed.join(sizes, "part").where(F.pmod("one", F.lit(HASHES)) < F.col("parts") * SAMPLE_PER_PART / F.col("n") * HASHES)
+        for r in some.select("part", "parts", "one", "v").groupBy("part").applyInPandas(cut, "part int, router binary").collect():
+            tree.below[r["part"]] = pickle.loads(r["router"])
+    return tree, visits_needed(tree, x[~out], x[out], k)
+
+
+def _nearest(vectors: DataFrame, key: str, vector: str, every: int, k: int) -> DataFrame:
     spark = vectors.sparkSession
     v = F.col(vector)
     rows = vectors.select(F.col(key).cast("long").alias("id"), v.cast("array<double>").alias("v")).where("id is not null and v is not null and size(v) > 0")
@@ -183,7 +272,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     rows = rows.withColumn("one", F.xxhash64("v")).withColumn("two", F.xxhash64(F.lit("again"), "v"))
     shape = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if shape is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], RESULT)
     rows = materialize(rows.where(F.size("v") == shape["n"]))
     # copies: the k + 1 smallest keys of every distinct vector, over salted groups first
     salted = Window.partitionBy("one", "two", "salt").orderBy("id")
@@ -195,29 +284,24 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     asked = rows.where(F.pmod("id", F.lit(every)) == 0).select("one", "two").distinct().withColumn("asked", F.lit(True))
     distinct = materialize(distinct.join(ids, ["one", "two"]).join(asked, ["one", "two"], "left"))
     total = distinct.count()
-    parts = int(np.clip(total // ROWS_PER_PART, LEAST_PARTS, MOST_PARTS))
-    wanted = parts * SAMPLE_PER_PART
-    sample = distinct if total <= wanted else distinct.where(F.pmod(F.col("one"), F.lit(1_000_000)) < int(1_000_000 * wanted / total) + 1)
-    x = unit(matrix(sample.select("one", "v").toPandas().sort_values("one")["v"]))
-    if len(x) < 4 * parts:
-        parts = max(1, len(x) // 4)
-    out = np.arange(len(x)) % KEPT_OUT == KEPT_OUT - 1
-    router = train_router(x[~out], balanced_parts(x[~out], parts), parts)
-    visited = visits_needed(router, x[~out], x[out], k)
+    if not total:
+        return spark.createDataFrame([], RESULT)
+    tree, visited = _tree(distinct, total, k)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                p = router.probabilities(matrix(b["v"]))
-                order = np.argsort(-p, axis=1, kind="stable")
-                b["part"] = order[:, 0]
-                b["visits"] = [r if q is True else None for r, q in zip(order[:, :visited].tolist(), b["asked"])]
+                x = matrix(b["v"])
+                b["part"] = tree.leaf(x)
+                asked = b["asked"].eq(True).to_numpy()
+                goes = iter(tree.visits(x[asked], visited))
+                b["visits"] = [next(goes) if a else None for a in asked]
                 yield b
 
     placed = materialize(distinct.mapInPandas(place, "one long, two long, v array<double>, ids array<long>, asked boolean, part int, visits array<int>"))
     sizes = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     visits = placed.where("asked").select("one", "two", "v", F.explode("visits").alias("part"))
-    asks = visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("turns"))
+    asks = visits.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / TURN).cast("int").alias("turns"))
     plan = materialize(sizes.join(asks, "part"))
     spread = F.pmod(F.xxhash64("two", "one"), F.lit(1 << 30))
     left = placed.select("part", "one", "two", "v", F.element_at("ids", 1).alias("first")).join(plan, "part")
