@@ -309,6 +309,49 @@ def test_block_max_wand_equals_exhaustive_search():
         assert {i for i, _ in index.search(query, least)} == {i for i, s in scores.items() if s >= least}
 
 
+def brute_leaks(texts, items):
+    """BM25 of every passage and item, normalised by the item's own score; then question and answer overlap."""
+    words = [decontamination.terms(t) for t in items]
+    mean, step = np.mean([len(w) for w in words]), max(32, max(map(len, words)))
+    df = Counter(w for ws in words for w in set(ws))
+
+    def score(terms, item):
+        total = 0.0
+        for w in set(terms):
+            c = item.count(w)
+            idf = np.log(1 + (len(words) - df[w] + 0.5) / (df[w] + 0.5))
+            total += idf * c * (decontamination.K1 + 1) / (c + decontamination.K1 * (1 - decontamination.B + decontamination.B * len(item) / mean)) if c else 0.0
+        return total
+
+    out = {}
+    for d, t in enumerate(texts):
+        ws = decontamination.terms(t)
+        blocks = [ws[i : i + step] for i in range(0, len(ws), step)]
+        passages = [a + b for a, b in zip(blocks, blocks[1:])] or blocks
+        for i, item in enumerate(words):
+            best = max((score(p, item) / score(item, item) for p in passages), default=0.0)
+            overlaps = [np.mean([" ".join(ws).find(" ".join(s)) >= 0 for s in decontamination.shingles(part)]) for part in decontamination.question_and_answer(items[i])]
+            if best >= decontamination.SCORE and min(overlaps) >= decontamination.OVERLAP:
+                out[d, i] = (round(best, 6), *(round(float(x), 6) for x in overlaps))
+    return out
+
+
+def test_leaks_equal_brute_force(spark):
+    r = random.Random(8)
+    items = [prose(r.randint(8, 30), 600 + i).capitalize() + ". " + prose(r.randint(3, 9), 650 + i).capitalize() + "." for i in range(25)]
+    texts = []
+    for i in range(60):
+        words = items[i % 25].split()
+        for _ in range(i // 30):  # up to one word changed
+            words[r.randrange(len(words))] = r.choice(WORDS)
+        texts.append(prose(r.randint(0, 200), i) + " " + " ".join(words[: r.choice([len(words), len(words), len(words) - 4])]) + " " + prose(r.randint(0, 90), 70 + i))
+    found = decontamination.find_leaks(table(spark, list(enumerate(texts))), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    got = {(x.doc_id, x.item_id): (round(x.score, 6), round(x.question_overlap, 6), round(x.answer_overlap, 6)) for x in found.collect()}
+    want = brute_leaks(texts, items)
+    assert set(got) == set(want) and 15 < len(got) < 60
+    assert all(np.allclose(got[k], want[k], atol=1e-5) for k in want)
+
+
 def test_leaks_are_found_and_clean_texts_left(spark, odd, none):
     items = [(i, prose(25, 9000 + i).capitalize() + ". " + prose(8, 9500 + i).capitalize() + ".") for i in range(30)] + [(98, None), (99, "")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -397,8 +440,9 @@ def test_url_rules_and_templates(spark, none):
     urls = ["https://a.org/x", "http://example.org/es/1", "http://WWW.Example.ORG/es/2?q", "http://example.org/en/19", "http://example.org/en/2", "http://b.com/fr/1", "http://b.com/de/1", "http://notorg/", "no scheme", None, "", "http://host?x", "http://comb.com/es/1", "ftp://x.org"]
     want = ["allow org/", "block example.org/es/", "block example.org/es/", "block example.org/en/1", "allow org/", "allow com/fr/", "block com/de/", None, None, None, None, None, None, None]
     rows = list(enumerate(urls)) + [(100 + i, f"http://blog.net/tag/{'spam' if i % 2 else 'news'}-{i}") for i in range(60)] + [(0, urls[0])]
-    pages = spark.createDataFrame(rows, "page_id long, url string")
-    labelled = spark.createDataFrame([(100 + i, i % 2) for i in range(40)] + [(100, 0), (7, None)], "page_id long, bad int")
+    rows.append((999, "http://long.net/" + "x" * 50_000 + "/" + "y/" * 30))
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' as host", "'x' as path", "1 as bad", "'x' as shape", "'x' as template", "2 as k", "3 as n")
+    labelled = spark.createDataFrame([(100 + i, i % 2) for i in range(40)] + [(100, 0), (7, None)], "page_id long, bad int").selectExpr("*", "'x' as host", "1 as k")
     got = {r.page_id: r for r in url_filter.judge(pages, labelled).collect()}
     for i, w in enumerate(want):
         assert (f"{got[i].verdict} {got[i].rule}" if got[i].rule else None) == w

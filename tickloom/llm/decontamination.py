@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import free_name, materialize
 from tickloom.llm.shingles import SIZE, WORDS
+from tickloom.session import ship
 
 K1, B = 1.2, 0.75
 #: Least normalised score of a retrieved item, and least part of its question's and answer's shingles found.
@@ -224,6 +225,7 @@ def _column(text: Column, ids: list[int], items: list[str], whole: Whole | None)
 
 def shards(items: DataFrame, key: str, text: str) -> list[tuple[list, list[str], Whole | None]]:
     """Ids and texts of the items, in shards of bounded size, each with the figures of all shards if it is not alone."""
+    ship(items.sparkSession)
     rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null and k is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // SHARD_BYTES))

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.session import ship
+
 UNDETERMINED = "und"
 WORD_START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -262,6 +264,7 @@ def held_out(key: str) -> Column:
 
 def train_split(docs: DataFrame, vocab_path: str, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = 20_000) -> Model:
     """The model learned from docs without their held-out rows; rows without a key are not learned from."""
+    ship(docs.sparkSession)
     return fit(docs.where(F.col(key).isNotNull() & ~held_out(key)), vocab_path, text, lang, key, max_docs)
 
 

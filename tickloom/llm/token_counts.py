@@ -16,6 +16,8 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from tickloom.session import ship
 from pyspark.sql import types as T
 
 #: The public pattern that splits text before byte-level merges.
@@ -146,6 +148,7 @@ def count_tokens(docs: DataFrame, vocab_path: str, text: str = "text", key: str
     only key and text are read. An empty table gives an empty result. Texts are never cut: a pre-token of
     any length is merged whole. Narrow: no shuffle, memory bounded by an Arrow batch and the cache.
     """
+    ship(docs.sparkSession)
     return (
         docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
         .select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), token_count("text", vocab_path).alias("n_tokens"))

@@ -94,7 +94,8 @@ def judge(pages: DataFrame, labelled: DataFrame, key: str = "page_id", url: str
 
     labelled has rows (page_id, bad) with bad 0 or 1; other values and repeated keys count once, as bad if one row
     says so. Null urls and urls without `://` have empty host and path and are judged as that host's root. Repeated
-    rows get equal answers; an empty table or one without labels rejects nothing beyond the rules.
+    rows get equal answers; an empty table or one without labels rejects nothing beyond the rules. Urls of any length
+    are read whole; other columns of any name are ignored.
     """
     host, path = split_url(F.col(url))
     rows = pages.select(F.col(key).alias("page_id"), host.alias("host"), path.alias("path")).withColumn("shape", shape(F.col("path")))
