@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from tickloom.operators import catalog, health, instruments, quality, replay, tr
 from tickloom.plans import tape
 from tickloom.plans.tape import DEPTH_SQL, EVENTS_SQL, FENCES_SQL, TRADES_SQL
 from tickloom.schemas import FUTURES, SPOT
+from tickloom.sources import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,6 +308,12 @@ def book_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(replay.best_levels(_book(spark, sf_dir)).select("symbol", "side", "level", "price", "size"), "price", "size")
 
 
+@query()
+def depth10_throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-level snapshots at least an hour apart, a greedy sample, as arrays; depth10_levels checks them by SQL."""
+    return replay.depth10(replay.replay(tape.depth(spark, sf_dir), ["depth10"], interval_s=3600.0))
+
+
 @query(f"""WITH RECURSIVE {DEPTH_SQL}, used AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY session, seq) AS place, sum(seed::INT) OVER (PARTITION BY symbol ORDER BY session, seq) AS segment FROM marked WHERE accepted OR seed),
 changes AS (SELECT symbol, side, price, segment, place, size, lead(place) OVER (PARTITION BY symbol, segment, side, price ORDER BY place) AS until FROM used),
@@ -321,9 +329,9 @@ given AS (
   UNION ALL
   SELECT a.*, CASE WHEN a.seed OR a.ts_ns - g.emitted >= 3600000000000 THEN a.ts_ns ELSE g.emitted END, a.seed OR a.ts_ns - g.emitted >= 3600000000000 FROM able a JOIN given g ON a.symbol = g.symbol AND a.nth = g.nth + 1)
 SELECT symbol, session, seq, bids, asks, last_id AS sequence, ts_ns AS ts_event FROM given WHERE emits""")
-def depth10_throttled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def depth10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-level snapshots at least an hour apart, their levels as text without the padding."""
-    rows = replay.depth10(replay.replay(tape.depth(spark, sf_dir), ["depth10"], interval_s=3600.0))
+    rows = depth10_throttled(spark, sf_dir)
     shown = lambda p, s: F.array_join(F.transform(F.filter(F.arrays_zip(F.col(p).alias("p"), F.col(s).alias("s")), lambda x: x["s"] != 0), lambda x: F.concat(x["p"].cast("long").cast("string"), F.lit("x"), x["s"].cast("long").cast("string"))), ",")
     return rows.select("symbol", "session", "seq", shown("bid_prices", "bid_sizes").alias("bids"), shown("ask_prices", "ask_sizes").alias("asks"), "sequence", "ts_event")
 
@@ -648,6 +656,24 @@ def instrument_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _instruments(spark, sf_dir)
 
 
+@query(f"""WITH {DEPTH_SQL}, {TRADES_SQL.split('FROM events), ', 1)[1]}
+SELECT symbol || CASE WHEN venue LIKE '%USDTF%' THEN '-PERP' ELSE '' END || '.BINANCE' AS instrument_id, count(*) AS n, 'trade_ticks' AS kind FROM tr WHERE {IS_TRADE} AND price <> 'x' GROUP BY ALL
+UNION ALL SELECT symbol || '.BINANCE', count(*), 'deltas' FROM marked WHERE accepted OR seed GROUP BY ALL""")
+def catalog_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tape's ticks and deltas written as a catalog, in files of few rows, and counted there; a row per instrument and
+    kind comes back before the catalog goes."""
+    root = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/tickloom-catalog-{uuid.uuid4().hex}"
+    changes = replay.deltas(replay.replay(tape.depth(spark, sf_dir), ["delta"], depth10=False))
+    changes = changes.withColumn("instrument_id", scalars.instrument_id(F.col("venue"), F.col("symbol")))
+    try:
+        catalog.write(trades.to_ticks(tape.trades(spark, sf_dir)), root, "trade_ticks", "2024-01-01", ["ts_init", *trades.ORDER], 50)
+        catalog.write(changes, root, "deltas", "2024-01-01", ["ts_init", "session", "seq", "at"])
+        rows = catalog.inspect(spark, root).collect()
+    finally:
+        raw.delete(spark, root)
+    return spark.createDataFrame(rows, "instrument_id string, n long, kind string")
+
+
 @query(f"""WITH {INSTRUMENTS_SQL} SELECT instrument_id, count(*) AS n, sum(l_quantity)::BIGINT AS quantity FROM lineitem JOIN ins ON symbol = 'P' || l_partkey || 'USDT' WHERE price_precision > 0 GROUP BY ALL""")
 def records_join_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_partkey")
