@@ -436,6 +436,56 @@ def test_nearest_recall_and_ties(spark, most, monkeypatch):
     assert nearest.nearest(frame.where("vec_id in (0, 1, 2)")).count() == 2
 
 
+def test_nearest_hashes_are_those_of_spark(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(40, 5))
+    x[3, 2], x[4, 1], x[5] = -0.0, 1e300, 5e-324
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "i int, v array<double>")
+    want = frame.selectExpr("i", "xxhash64(v) as one", "xxhash64('again', v) as two").orderBy("i").collect()
+    one, two = nearest.spread(x)
+    assert one.tolist() == [w.one for w in want] and two.tolist() == [w.two for w in want]
+
+
+def test_nearest_in_a_cell():
+    """Exact nearest among the visited parts, however many at a time, ties and near ties to the smaller first id."""
+    r = np.random.default_rng(9)
+    c = r.normal(size=(300, 16)) * 10.0 ** r.integers(-20, 20, (300, 1))
+    c[100:140] = c[7] * 2.0 ** np.arange(-20, 20)[:, None]  # equal cosines
+    c[140:160] = c[7] * (1 + 1e-12 * r.normal(size=(20, 16)))  # single precision cannot tell them
+    first, part, q = r.permutation(300), r.integers(0, 6, 300), np.concatenate([r.normal(size=(30, 16)), c[7:8]])
+    pairs = [(i, p) for i in range(31) for p in range(7) if r.random() < 0.6 or (i < 30 and p == i % 6) or i == 30]
+    asking, asked = (np.array(x) for x in zip(*pairs))
+    best, score = nearest.best_in_cell(c, first, part, q, asking, asked, 6)
+    for i in range(31):
+        rows = np.flatnonzero(np.isin(part, [p for j, p in pairs if j == i]))
+        s = (c[rows] * q[i]).sum(1) / (np.sqrt((c[rows] * c[rows]).sum(1)) * np.sqrt((q[i] * q[i]).sum()))
+        order = np.lexsort((first[rows], -s))[:6]
+        assert best[i].tolist() == rows[order].tolist() and score[i].tolist() == s[order].tolist()
+    assert (nearest.best_in_cell(c[:2], first[:2], part[:2], q, asking, asked, 6)[0] >= 0).sum(1).max() <= 2
+
+
+def test_nearest_deals_a_query_once_to_a_cell(spark, monkeypatch):
+    """Small parts share cells, so that a query goes to a few cells and not to each of its parts; copies go as ids."""
+    monkeypatch.setattr(nearest, "ROWS_PER_PART", 40)
+    dealt = []
+    monkeypatch.setattr(nearest.Cells, "plan", classmethod(lambda cls, sizes, visits, queries, room, plan=nearest.Cells.plan.__func__: dealt.append((plan(cls, sizes, visits, queries, room), visits, queries)) or dealt[-1][0]))
+    r = np.random.default_rng(4)
+    rows = [(i, r.normal(size=8).tolist()) for i in range(1200)]
+    rows += [(5000 + i, rows[50][1]) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = nearest.nearest(frame).collect()
+    assert len(got) == 5 * (24 + 60)
+    copies = {x.query_id: [] for x in got if x.query_id in (50, 5050, 7950)}
+    for x in sorted(got, key=lambda x: x["rank"]):
+        if x.query_id in copies:
+            copies[x.query_id].append(x.vec_id)
+    assert copies == {50: [5000, 5001, 5002, 5003, 5004], 5050: [50, 5000, 5001, 5002, 5003], 7950: [50, 5000, 5001, 5002, 5003]}
+    ((cells, visits, queries),) = dealt
+    assert queries == 24 and visits.sum() > 5 * queries and cells.first.max() == 0 and cells.turns.tolist() == [1]
+    big = nearest.Cells.plan(np.array([10, 4500, 30, 0, 1990]), np.array([5, 20_000, 5, 0, 5]), 20_000, 2000)
+    assert big.first.tolist() == [0, 1, 4, 4, 5] and big.blocks.tolist() == [1, 3, 1, 1, 1] and big.turns.tolist() == [1, 3, 3, 3, 1, 1]
+
+
 def test_url_rules_and_templates(spark, none):
     urls = ["https://a.org/x", "http://example.org/es/1", "http://WWW.Example.ORG/es/2?q", "http://example.org/en/19", "http://example.org/en/2", "http://b.com/fr/1", "http://b.com/de/1", "http://notorg/", "no scheme", None, "", "http://host?x", "http://comb.com/es/1", "ftp://x.org"]
     want = ["allow org/", "block example.org/es/", "block example.org/es/", "block example.org/en/1", "allow org/", "allow com/fr/", "block com/de/", None, None, None, None, None, None, None]
