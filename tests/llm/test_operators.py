@@ -538,6 +538,20 @@ def test_tool_calls(spark):
     assert tool_calls.format_chats(frame.limit(0), schemas).count() == 0
 
 
+def test_results_are_placed_by_the_order_of_messages(spark, tmp_path, monkeypatch):
+    """Results depend on their calls; without that stage op2 would put them elsewhere."""
+    calls = spark.createDataFrame([("c", "a", 4, [], 5), ("c", "b", 0, ["a"], 1), ("d", "a", 2, [], None)], "conv string, call_id string, pos long, depends_on array<string>, result_pos long")
+    got = {(r.conv, r.call_id, r.kind): (r.anchor, r.level, r.cyclic) for r in tool_calls.ordered_messages(calls).collect()}
+    assert got == {("c", "a", "call"): (4, 0, False), ("c", "a", "result"): (4, 1, False), ("c", "b", "call"): (5, 2, False), ("c", "b", "result"): (5, 3, False), ("d", "a", "call"): (2, 0, False), ("d", "a", "result"): (2, 1, False)}
+    turns = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "assistant", "b"), (2, 0, "user", "q")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = lambda: sorted((r.conv_id, r.turn, r.anchor, r.level) for r in queries.op2_tool_calls(spark, str(tmp_path)).collect())
+    assert found() == [(1, 0, 0, 0), (1, 1, 1, 0), (1, 2, 2, 1), (1, 3, 3, 0), (2, 0, 0, 0)]
+    ordered = tool_calls.ordered_messages
+    monkeypatch.setattr(tool_calls, "ordered_messages", lambda calls: ordered(calls).where("kind = 'call'"))
+    assert found() == [(1, 0, 0, 0), (1, 1, 1, 0), (1, 2, 2, 0), (1, 3, 3, 0), (2, 0, 0, 0)]
+
+
 def test_odd_tool_calls(spark):
     """Lone surrogates, deep nesting, numbers that JSON lacks, ties, long texts and columns of clashing names."""
     schemas = {"f": {"type": "object"}, "g": {"type": "string", "minLength": 2}}
