@@ -486,12 +486,15 @@ class Cells:
         return cls(first, blocks, -(-np.minimum(asked, queries) // TURN))
 
     def deal(self, t: pa.Table) -> Iterator[pa.Table]:
-        """Rows (cell, turn, asks, one, two, vec, part, ids, parts) of placed vectors: candidates, then queries."""
+        """Rows (cell, turn, asks, one, two, vec, part, ids, parts) of placed vectors: candidates, then queries.
+
+        However many turns and cells there are, no table has more than CHUNK rows or as many as t.
+        """
         two, part = t["two"].to_numpy() & ((1 << 30) - 1), t["part"].to_numpy()
         cell = self.first[part] + two % self.blocks[part]
-        row = np.repeat(np.arange(len(two)), self.turns[cell])
-        turn = ranks(changes(row), np.ones(len(row), int)) if len(row) else row
-        yield self._rows(t, row, cell[row], turn, False, t["part"].take(row), t["ids"].take(row), pa.nulls(len(row), pa.list_(pa.int32())))
+        for turn in range(int(self.turns.max())):
+            row = np.flatnonzero(self.turns[cell] > turn)
+            yield self._rows(t, row, cell[row], np.full(len(row), turn), False, t["part"].take(row), t["ids"].take(row), pa.nulls(len(row), pa.list_(pa.int32())))
         rows = np.flatnonzero(t["asked"].to_numpy())
         if not len(rows):
             return
@@ -505,8 +508,9 @@ class Cells:
         row, cell, leaves = row[order], cell[order], leaves[order]
         at = np.flatnonzero(changes(row, cell))
         parts = lists(leaves, np.diff(np.append(at, len(row))), pa.int32())
-        row, cell = row[at], cell[at]
-        yield self._rows(t, row, cell, two[row] % np.maximum(1, self.turns[cell]), True, pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.list_(pa.int64())), parts)
+        for i in range(0, len(at), CHUNK):
+            r, c = row[at[i : i + CHUNK]], cell[at[i : i + CHUNK]]
+            yield self._rows(t, r, c, two[r] % np.maximum(1, self.turns[c]), True, pa.nulls(len(r), pa.int32()), pa.nulls(len(r), pa.list_(pa.int64())), parts.slice(i, CHUNK))
 
     @staticmethod
     def _rows(t: pa.Table, row: np.ndarray, cell: np.ndarray, turn: np.ndarray, asks: bool, *more: pa.Array) -> pa.Table:
